@@ -37,45 +37,62 @@ def key_known(keys: Sequence[str]) -> Column:
     return condition
 
 
+def has_hot_group(df: DataFrame, keys: Sequence[str], hot_rows: int, cleared: list[set[str]] | None = None) -> bool:
+    """Whether a group exceeds ``hot_rows`` rows.
+
+    ``cleared`` collects key sets without such a group; finer sets have none either.
+    """
+    if cleared is not None and any(known <= set(keys) for known in cleared):
+        return False
+    if not hot_groups(df, keys, hot_rows).isEmpty():
+        return True
+    if cleared is not None:
+        cleared.append(set(keys))
+    return False
+
+
+def _measure(agg: str, value: str, approx_median: bool) -> Column:
+    if agg == "median" and approx_median:
+        return F.percentile_approx(col(value), 0.5)
+    return _AGGREGATES[agg](col(value))
+
+
 def group_stats(
     df: DataFrame,
     keys: Sequence[str],
-    value: str,
-    aggs: Sequence[str],
-    names: dict[str, str] | None = None,
+    wanted: dict[tuple[str, str], str],
     approx_median: bool = False,
     hot_rows: int | None = HOT_ROWS,
+    cleared: list[set[str]] | None = None,
 ) -> DataFrame:
-    """One row per known key with the named statistics.
+    """One row per known key; ``wanted`` maps (value, statistic) to a name.
 
-    An exact median keeps the distinct values of a group. For groups above
-    ``hot_rows`` rows it is found from running counts of equal values instead.
+    All values share one aggregate. An exact median keeps the distinct values
+    of a group; for groups above ``hot_rows`` rows it is found from running
+    counts of equal values instead.
     """
-    keys, aggs = list(keys), list(aggs)
-    names = names or {a: a for a in aggs}
-    rows = df.filter(key_known(keys)).select(*[col(k) for k in dict.fromkeys([*keys, value])])
+    keys = list(keys)
     key_cols = [col(k) for k in keys]
-    needs_split = "median" in aggs and not approx_median and hot_rows is not None
-    hot = hot_groups(rows, keys, hot_rows) if needs_split else None
-    if hot is not None and hot.isEmpty():
-        hot = None
-    measured = {}
-    for a in aggs:
-        if a == "median" and approx_median:
-            measured[a] = F.percentile_approx(col(value), 0.5)
-        else:
-            measured[a] = _AGGREGATES[a](col(value))
-    if hot is None:
-        return rows.groupBy(*key_cols).agg(*[m.alias(names[a]) for a, m in measured.items()])
-    listed = F.broadcast(prefixed(hot.select(*key_cols), keys, "_h_"))
+    values = list(dict.fromkeys(v for v, _ in wanted))
+    rows = df.filter(key_known(keys)).select(*[col(c) for c in dict.fromkeys([*keys, *values])])
+
+    def aggregate(part: DataFrame, medians: bool = True) -> DataFrame:
+        measures = [
+            _measure(a, v, approx_median).alias(n) for (v, a), n in wanted.items() if medians or a != "median"
+        ]
+        return part.groupBy(*key_cols).agg(*measures) if measures else part.select(*key_cols).distinct()
+
+    split = any(a == "median" for _, a in wanted) and not approx_median and hot_rows is not None
+    if not split or not has_hot_group(rows, keys, hot_rows, cleared):
+        return aggregate(rows)
+    listed = F.broadcast(prefixed(hot_groups(rows, keys, hot_rows).select(*key_cols), keys, "_h_"))
     large = rows.join(listed, same_keys(keys, "_h_"), "left_semi")
     small = rows.join(listed, same_keys(keys, "_h_"), "left_anti")
-    other = [m.alias(names[a]) for a, m in measured.items() if a != "median"]
-    medians = exact_quantiles(large, keys, value, {names["median"]: 0.5}, hot_rows)
-    if other:
-        medians = large.groupBy(*key_cols).agg(*other).join(medians, keys, "left")
-    cold = small.groupBy(*key_cols).agg(*[m.alias(names[a]) for a, m in measured.items()])
-    return cold.unionByName(medians)
+    hot = aggregate(large, medians=False)
+    for (value, agg), name in wanted.items():
+        if agg == "median":
+            hot = hot.join(exact_quantiles(large, keys, value, {name: 0.5}, hot_rows), keys, "left")
+    return aggregate(small).unionByName(hot)
 
 
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -112,14 +129,20 @@ def zscore_by(
     return joined.select(*[col(c) for c in kept], *[v.alias(n) for n, v in scores.items()])
 
 
-def normalize_by(df: DataFrame, group: str, value: str, log10: bool = False) -> DataFrame:
-    """Add ``{value}[_log10]_norm_by_{group}``; rows with an unknown group are dropped."""
+def normalize_by(
+    df: DataFrame, group: str, value: str, log10: bool = False, source: DataFrame | None = None
+) -> DataFrame:
+    """Add ``{value}[_log10]_norm_by_{group}``; rows with an unknown group are dropped.
+
+    ``source`` is a frame with the same rows to read the statistics from, when
+    ``df`` has grown far from its table.
+    """
     base = F.log10(col(value) + F.lit(REL_SHIFT)) if log10 else col(value)
     name = value + ("_log10" if log10 else "")
-    rows = df.filter(col(group).isNotNull()).withColumn("_x", base)
-    stats = rows.groupBy(col(group)).agg(F.avg("_x").alias("_mean"), F.stddev_samp("_x").alias("_std"))
-    joined = attach(rows, stats, [group], "inner")
-    score = safe_div(F.col("_x") - F.col("_mean"), F.col("_std"))
+    rows = (df if source is None else source).filter(col(group).isNotNull())
+    stats = rows.groupBy(col(group)).agg(F.avg(base).alias("_mean"), F.stddev_samp(base).alias("_std"))
+    joined = attach(df, stats, [group], "inner")
+    score = safe_div(base - F.col("_mean"), F.col("_std"))
     return joined.select(*[col(c) for c in df.columns], score.alias(f"{name}_norm_by_{group}"))
 
 
@@ -165,7 +188,7 @@ def composite(
     names = {a: stat_name(a, value, keys) for a in aggs}
     on = keys if split is None else [*keys, split]
     rows = df if split is None else df.filter(col(split).isNotNull())
-    stats = group_stats(rows, on, value, aggs, names, approx_median, hot_rows)
+    stats = group_stats(rows, on, {(value, a): n for a, n in names.items()}, approx_median, hot_rows)
     compare = [c for c in compare if c in df.columns]
     extra = relative_columns(value, list(names.values()), relative, compare)
     joined = attach(rows, stats, on)

@@ -219,16 +219,25 @@ def _zscore_all(spark, folder):
     return stats.zscore_by(rows, "l_suppkey", values, "_z").drop(*values)
 
 
-def _composite_sql(keys: list[str], aggs: list[str], source: str, value: str, compare: tuple[str, ...] = (), digits: int = 6) -> str:
+# Whole cents add up exactly in any order, so both engines get the same means.
+CENTS_SQL = "round(l_extendedprice * 100)"
+
+
+def _cents(spark, folder):
+    cents = F.round(F.col("l_extendedprice") * 100).alias("cents")
+    return lineitem(spark, folder).select(*LINE_ID, cents)
+
+
+def _composite_sql(keys: list[str], aggs: list[str], source: str, value: str, compare: tuple[str, ...] = ()) -> str:
     sql_name = {"mean": "avg", "median": "median", "min": "min", "max": "max", "sum": "sum"}
     names = {a: stats.stat_name(a, value, [k for k in keys if k != "split"]) for a in aggs}
     on = ", ".join(keys)
-    out = [f"round({n}, {digits}) AS {n}" for n in names.values()]
+    out = [f"round({n}, 6) AS {n}" for n in names.values()]
     for a, n in names.items():
         if a != "sum":
             for c in (value, *compare):
-                out.append(f"round({c} - {n}, {digits}) AS {c}_diff_to_{n}")
-                out.append(f"round(({c} - {n}) / nullif({value} + 0.01, 0), {digits}) AS {c}_rel_diff_to_{n}")
+                out.append(f"round({c} - {n}, 6) AS {c}_diff_to_{n}")
+                out.append(f"round(({c} - {n}) / nullif({value} + 0.01, 0), 6) AS {c}_rel_diff_to_{n}")
     aggregates = ", ".join(f"{sql_name[a]}({value}) AS {n}" for a, n in names.items())
     return f"""WITH t AS ({source}), a AS (SELECT {on}, {aggregates} FROM t GROUP BY {on})
       SELECT {LINE_ID_SQL}, {', '.join(out)} FROM t JOIN a USING ({on})"""
@@ -240,11 +249,11 @@ def _composite_columns(df, before):
 
 @query(
     "composite_stats",
-    _composite_sql(["l_suppkey", "l_linenumber"], ["mean", "median", "min", "max", "sum"], "SELECT * FROM lineitem", "l_extendedprice"),
+    _composite_sql(["l_suppkey", "l_linenumber"], ["mean", "median", "min", "max", "sum"], f"SELECT *, {CENTS_SQL} AS cents FROM lineitem", "cents"),
 )
 def _composite_stats(spark, folder):
-    rows = lineitem(spark, folder, *LINE_ID, "l_extendedprice")
-    out = stats.composite(rows, ["l_suppkey", "l_linenumber"], "l_extendedprice", [*stats.DEFAULT_AGGS, "sum"])
+    rows = _cents(spark, folder)
+    out = stats.composite(rows, ["l_suppkey", "l_linenumber"], "cents", [*stats.DEFAULT_AGGS, "sum"])
     return _composite_columns(out, rows.columns)
 
 
@@ -253,28 +262,27 @@ def _composite_stats(spark, folder):
     _composite_sql(
         ["l_partkey", "split"],
         ["mean", "median", "min", "max"],
-        """SELECT *, CASE l_orderkey % 10 WHEN 5 THEN 'test' WHEN 1 THEN 'val' ELSE 'train' END AS split FROM lineitem""",
-        "l_extendedprice",
+        f"""SELECT *, {CENTS_SQL} AS cents, CASE l_orderkey % 10 WHEN 5 THEN 'test' WHEN 1 THEN 'val' ELSE 'train' END AS split
+          FROM lineitem""",
+        "cents",
     ),
 )
 def _composite_by_split(spark, folder):
-    rows = by_modulo(lineitem(spark, folder, *LINE_ID, "l_extendedprice"), "l_orderkey")
-    out = stats.composite(rows, ["l_partkey"], "l_extendedprice", split="split")
+    rows = by_modulo(_cents(spark, folder), "l_orderkey")
+    out = stats.composite(rows, ["l_partkey"], "cents", split="split")
     return _composite_columns(out, rows.columns)
 
 
 @query(
     "composite_comparison",
     _composite_sql(
-        ["l_suppkey"],
+        ["l_suppkey", "l_linenumber"],
         ["mean", "sum"],
         """SELECT l.*, round(l_extendedprice * 100) AS cents, round(o_totalprice * 100) AS total_cents
           FROM lineitem l JOIN orders ON l_orderkey = o_orderkey""",
         "cents",
         ("total_cents",),
-        9,
     ),
-    digits=9,
 )
 def _composite_comparison(spark, folder):
     totals = read_table(spark, folder, "orders", ["o_orderkey", "o_totalprice"])
@@ -284,7 +292,7 @@ def _composite_comparison(spark, folder):
         F.round(F.col("l_extendedprice") * 100).alias("cents"),
         F.round(F.col("o_totalprice") * 100).alias("total_cents"),
     )
-    out = stats.composite(rows, ["l_suppkey"], "cents", ["mean", "sum"], compare=["total_cents"])
+    out = stats.composite(rows, ["l_suppkey", "l_linenumber"], "cents", ["mean", "sum"], compare=["total_cents"])
     return _composite_columns(out, rows.columns)
 
 
