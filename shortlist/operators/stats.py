@@ -20,7 +20,7 @@ from .ordering import HOT_ROWS, col, exact_quantiles, hot_groups, prefixed, same
 REL_SHIFT = 1e-2  # keeps relative differences and log10 defined at zero
 DEFAULT_AGGS = ("mean", "median", "min", "max")
 
-_AGGREGATES = {
+AGGREGATES = {
     "mean": F.avg,
     "median": F.median,
     "min": F.min,
@@ -54,7 +54,7 @@ def has_hot_group(df: DataFrame, keys: Sequence[str], hot_rows: int, cleared: li
 def _measure(agg: str, value: str, approx_median: bool) -> Column:
     if agg == "median" and approx_median:
         return F.percentile_approx(col(value), 0.5)
-    return _AGGREGATES[agg](col(value))
+    return AGGREGATES[agg](col(value))
 
 
 def group_stats(
@@ -214,7 +214,7 @@ def block_stats(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> D
         stats = (
             df.filter(col(k).isNotNull())
             .groupBy(col(k))
-            .agg(*[_AGGREGATES[a](col(c)).alias(name) for c, a, name in block_names([k], columns)])
+            .agg(*[AGGREGATES[a](col(c)).alias(name) for c, a, name in block_names([k], columns)])
         )
         out = attach(out, stats, [k])
     return out.select(*[col(c) for c in df.columns], *[col(n) for _, _, n in block_names(keys, columns)])

@@ -188,6 +188,14 @@ def base_features(log: DataFrame, tiebreak: Sequence[str] = (), hot_rows: int |
     return date_features(row_features(priced), log)
 
 
+ROW = "_row"
+# What the group-relative features read.
+RELATIVE_INPUTS = (
+    "date_time", "price_usd", "prop_starrating", "click_bool", "booking_bool", "position", "random_bool",
+    "srch_query_affinity_score",
+)
+
+
 def build_features(
     log: DataFrame,
     split: str = "split",
@@ -197,19 +205,26 @@ def build_features(
 ) -> DataFrame:
     """All features of the registry, for a log with a split column.
 
-    The base features are written once. Every statistic is then read from that
-    table, by its own few columns, so the plan grows with the number of
-    statistics and not with their product.
+    The base features are written once, with a row number. Group-relative
+    features are then built on the few columns they need, so that the shuffles
+    of some forty statistics move narrow rows, and meet the wide rows once.
     """
-    base = written(base_features(log, tiebreak, hot_rows))
-    df = base
+    numbered = base_features(log, tiebreak, hot_rows).withColumn(ROW, F.monotonically_increasing_id())
+    base = written(numbered)
+    used = dict.fromkeys(
+        [ROW, split, "srch_id", "prop_id", *RELATIVE_INPUTS, *[c for e in composites for c in (*e.keys, e.value)]]
+    )
+    narrow = base.select(*used)
+    df = narrow
     for key in ("prop_id", "srch_id"):
-        df = stats.normalize_by(df, key, "price_usd", log10=True, source=base)
-    df = stats.normalize_by(df, "srch_id", "prop_starrating", source=base)
-    df = encode.dense_ordinal(df, "date_time", hot_rows=hot_rows, source=base)
-    df = encode.train_stats(df, "prop_id", "click_bool", "booking_bool", "position", "random_bool", split, base)
-    df = item_affinity(df, base)
-    return composite_features(df, composites, split, hot_rows, base)
+        df = stats.normalize_by(df, key, "price_usd", log10=True, source=narrow)
+    df = stats.normalize_by(df, "srch_id", "prop_starrating", source=narrow)
+    df = encode.dense_ordinal(df, "date_time", hot_rows=hot_rows, source=narrow)
+    df = encode.train_stats(df, "prop_id", "click_bool", "booking_bool", "position", "random_bool", split, narrow)
+    df = item_affinity(df, narrow)
+    relative = df.drop(*[c for c in narrow.columns if c != ROW])
+    grouped = composite_features(narrow, composites, split, hot_rows).drop(*[c for c in narrow.columns if c != ROW])
+    return base.join(relative, [ROW]).join(grouped, [ROW]).drop(ROW)
 
 
 ENCODED_KEYS = ("prop_country_id", "site_id", "visitor_location_country_id", "prop_id", "srch_destination_id")
