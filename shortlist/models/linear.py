@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import safe_div
 from ..operators.metrics import ideal_dcg
-from ..operators.ordering import HOT_ROWS, col, running_total, top_k
-from ..operators.stats import attach
+from ..operators.ordering import HOT_ROWS, attach, col, running_total, top_k
 from ..session import written
 
 
@@ -70,27 +69,31 @@ def standardiser(df: DataFrame, columns: Sequence[str]) -> LinearRanker:
     return LinearRanker(tuple(columns), means, scales, tuple(0.0 for _ in n))
 
 
-def _partial_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    gram = shift = None
-    for batch in batches:
-        if len(batch) == 0:
-            continue
-        x = np.stack(batch["x"].to_numpy()).astype(float)
-        square = x.T @ (x * batch["w"].to_numpy(dtype=float)[:, None])
-        linear = batch["c"].to_numpy(dtype=float) @ x
-        gram = square if gram is None else gram + square
-        shift = linear if shift is None else shift + linear
-    if gram is not None:
-        yield pd.DataFrame({"i": range(len(gram) + 1), "v": [*gram, shift]})
+def _partial_sums(columns: list[str]):
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        gram = shift = None
+        for batch in batches:
+            if len(batch) == 0:
+                continue
+            x = batch[columns].to_numpy(dtype=float)
+            square = x.T @ (x * batch["w"].to_numpy(dtype=float)[:, None])
+            linear = batch["c"].to_numpy(dtype=float) @ x
+            gram = square if gram is None else gram + square
+            shift = linear if shift is None else shift + linear
+        if gram is not None:
+            yield pd.DataFrame({"i": range(len(gram) + 1), "v": [*gram, shift]})
+
+    return sums
 
 
-def weighted_sums(df: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of w * x x' and of c * x over rows (x, w, c).
+def weighted_sums(df: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of w * x x' and of c * x over rows of the columns, w and c.
 
     Each task returns one matrix; they are added row by row in a second
-    aggregate. The result has features * features numbers.
+    aggregate. The result has columns * columns numbers.
     """
-    parts = df.mapInPandas(_partial_sums, "i int, v array<double>")
+    columns, size = list(columns), len(columns)
+    parts = df.select(*columns, "w", "c").mapInPandas(_partial_sums(columns), "i int, v array<double>")
     rows = (
         parts.select("i", array_to_vector("v").alias("v"))
         .groupBy("i")
@@ -134,37 +137,51 @@ def pair_differences(df: DataFrame, group: str, gain: str, columns: Sequence[str
 
 
 def fit_pairwise(
-    df: DataFrame, group: str, gain: str, columns: Sequence[str], penalty: float = 1e-3, per_group: bool = True
+    df: DataFrame,
+    group: str,
+    gain: str,
+    columns: Sequence[str],
+    penalty: float = 1e-3,
+    per_group: bool = True,
+    hot_rows: int | None = HOT_ROWS,
 ) -> LinearRanker:
-    """Least squares on all in-group pairs; each group counts once with ``per_group``."""
+    """Least squares on all in-group pairs; each group counts once with ``per_group``.
+
+    Over the pairs of a group, the sum of (x_i - x_j)(x_i - x_j)' is that of
+    x x' over its rows, weighted by the rows of other gains, less the outer
+    product of the group's sum, plus those of the sums per gain. All three are
+    rows with a weight, added up in one pass.
+    """
     ranker = standardiser(df, columns)
-    rows = df.select(col(group), col(gain), F.array(*ranker.standard()).alias("x"))
-    levels = pair_levels(rows, group, gain)
-    pairs = levels.groupBy(col(group)).agg(F.sum(F.col("n") * F.col("lower")).alias("_pairs"))
-    weight = safe_div(F.lit(1.0), F.col("_pairs")) if per_group else F.lit(1.0)
-    weighed = (
-        levels.join(pairs.filter(F.col("_pairs") > 0), [group])
-        .withColumn("omega", weight)
-        .select(
-            col(group),
-            col(gain),
-            "omega",
-            (F.col("omega") * (F.col("rows") - F.col("n"))).alias("w"),
-            (F.col("omega") * (F.col("lower") - F.col("higher"))).alias("c"),
+    names = [f"x{i}" for i in range(len(ranker.columns))]
+    rows = df.select(
+        col(group).alias("grp"), col(gain).alias("g"), *[x.alias(n) for n, x in zip(names, ranker.standard())]
+    )
+    levels = pair_levels(rows.select("grp", "g"), "grp", "g", hot_rows)
+    pairs = F.sum(F.col("n") * F.col("lower"))
+    weight = safe_div(F.lit(1.0), F.col("pairs")) if per_group else F.lit(1.0)
+    counted = attach(levels, levels.groupBy("grp").agg(pairs.alias("pairs")), ["grp"], "inner").filter("pairs > 0")
+    weighed = written(
+        counted.select(
+            "grp",
+            "g",
+            weight.cast("double").alias("omega"),
+            (weight * (F.col("rows") - F.col("n"))).cast("double").alias("w"),
+            (weight * (F.col("lower") - F.col("higher"))).cast("double").alias("c"),
         )
     )
-    size = len(ranker.columns)
-    # Every row meets the rows of the other levels of its group.
-    outer, target = weighted_sums(attach(rows, weighed, [group, gain], "inner").select("x", "w", "c"), size)
-    level_sums = rows.groupBy(col(group), col(gain)).agg(Summarizer.sum(array_to_vector("x")).alias("v"))
-    by_level = level_sums.join(weighed, [group, gain])
-    none = F.lit(0.0).alias("c")
-    inner, _ = weighted_sums(by_level.select(vector_to_array("v").alias("x"), F.col("omega").alias("w"), none), size)
-    by_group = by_level.groupBy(col(group)).agg(Summarizer.sum(F.col("v")).alias("v"), F.max("omega").alias("w"))
-    cross, _ = weighted_sums(by_group.select(vector_to_array("v").alias("x"), "w", none), size)
-    normal = outer - cross + inner
-    ridge = penalty * max(np.trace(normal) / size, 1e-12)
-    weights = np.linalg.solve(normal + ridge * np.eye(size), target)
+    met = attach(rows, weighed, ["grp", "g"], "inner", hot_rows)
+    by_level = met.groupBy("grp", "g", "omega").agg(*[F.sum(n).alias(n) for n in names])
+    by_group = by_level.groupBy("grp").agg(F.max("omega").alias("omega"), *[F.sum(n).alias(n) for n in names])
+    nothing = F.lit(0.0).alias("c")
+    parts = (
+        met.select(*names, "w", "c")
+        .unionByName(by_level.select(*names, F.col("omega").alias("w"), nothing))
+        .unionByName(by_group.select(*names, (-F.col("omega")).alias("w"), nothing))
+    )
+    normal, target = weighted_sums(parts, names)
+    ridge = penalty * max(np.trace(normal) / len(names), 1e-12)
+    weights = np.linalg.solve(normal + ridge * np.eye(len(names)), target)
     return replace(ranker, weights=tuple(float(w) for w in weights))
 
 
@@ -222,7 +239,7 @@ def fit_listwise(
     # Written once: row numbers must not change between steps.
     rows = written(base)
     ideal = ideal_dcg(rows, "grp", "g", k).filter(F.col("idcg") > 0)
-    graded = written(rows.join(ideal, ["grp"]))
+    graded = written(attach(rows, ideal, ["grp"], "inner"))
     groups = max(ideal.count(), 1)
     weights = np.array(ranker.weights)
     for _ in range(steps):
@@ -244,7 +261,7 @@ def fit_listwise(
             _padded(F.col("top.row"), k, F.lit(-1).cast("bigint")).alias("tid"),
             F.flatten(_padded(F.col("top.x"), k, nothing)).alias("tx"),
         )
-        joined = attach(scored, top, ["grp"], "inner").drop("grp")
+        joined = attach(scored, top, ["grp"], "inner", source=graded).drop("grp")
         parts = joined.mapInPandas(_lambda_step(k), "v array<double>")
         total = parts.agg(vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("v")).first()["v"]
         if not total:

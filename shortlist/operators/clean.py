@@ -8,20 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import off_grid, safe_div
-from .ordering import col, group_sizes
-from .stats import attach
+from .ordering import HOT_ROWS, attach, col, group_sizes
 
 MISSING_CATEGORY = "NaN_category"  # fixed value
 
 
-def outlier_by_key(df: DataFrame, key: str, value: str, z: float = 2.0) -> DataFrame:
+def outlier_by_key(
+    df: DataFrame, key: str, value: str, z: float = 2.0, hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
     """Keep rows within ``z`` sample deviations of the mean of their key.
 
     A key with one row or without spread has no z-score; its rows are dropped.
     """
     stats = df.groupBy(col(key)).agg(F.avg(col(value)).alias("_mean"), F.stddev_samp(col(value)).alias("_std"))
     score = safe_div(col(value) - F.col("_mean"), F.col("_std"))
-    return attach(df, stats, [key], "inner").filter(F.abs(score) < z).select(*[col(c) for c in df.columns])
+    return attach(df, stats, [key], "inner", hot_rows).filter(F.abs(score) < z).select(*[col(c) for c in df.columns])
 
 
 def outlier_global(df: DataFrame, value: str, z: float = 2.0) -> DataFrame:
@@ -38,11 +39,13 @@ def off_grid_rows(df: DataFrame, value: str, step: float) -> DataFrame:
     return df.filter(off_grid(value, step))
 
 
-def min_group_size(df: DataFrame, group: str, n: int, item: str | None = None) -> DataFrame:
+def min_group_size(
+    df: DataFrame, group: str, n: int, item: str | None = None, hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
     """Keep the rows of groups with at least ``n`` (known) items."""
     counted = F.count(col(item)) if item else F.count(F.lit(1))
     large = df.groupBy(col(group)).agg(counted.alias("_n")).filter(F.col("_n") >= n).select(col(group))
-    return df.join(large, [group], "left_semi")
+    return attach(df, large, [group], "left_semi", hot_rows)
 
 
 def multi_row_groups(df: DataFrame, group: str) -> DataFrame:
@@ -54,12 +57,14 @@ def fill_category(df: DataFrame, columns: Sequence[str], value: str = MISSING_CA
     return df.withColumns({c: F.coalesce(col(c).cast("string"), F.lit(value)) for c in columns})
 
 
-def members(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    return df.join(keys.select(*[col(k) for k in on]).distinct(), list(on), "left_semi")
+def members(df: DataFrame, keys: DataFrame, on: Sequence[str], hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Rows whose key is listed."""
+    return attach(df, keys.select(*[col(k) for k in on]).distinct(), on, "left_semi", hot_rows)
 
 
-def non_members(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    return df.join(keys.select(*[col(k) for k in on]).distinct(), list(on), "left_anti")
+def non_members(df: DataFrame, keys: DataFrame, on: Sequence[str], hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Rows whose key is not listed."""
+    return attach(df, keys.select(*[col(k) for k in on]).distinct(), on, "left_anti", hot_rows)
 
 
 def sizes(df: DataFrame, group: str) -> DataFrame:

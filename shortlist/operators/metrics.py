@@ -8,76 +8,118 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import log_discount, safe_div
-from .ordering import col, running_total, top_k
+from .ordering import HOT_ROWS, col, has_hot_group, prefixed, running_total, same_keys, top_k, window
 
 
-def _discounted(gain: str) -> Column:
-    return F.sum(safe_div(col(gain).cast("double"), log_discount("rank")))
+def _discounted(gain: str, rank: str = "rank") -> Column:
+    return F.sum(safe_div(col(gain).cast("double"), log_discount(rank)))
 
 
-def dcg(df: DataFrame, group: str, score: str, gain: str, k: int = 5, tiebreak: Sequence[str] = (), ascending: bool = False) -> DataFrame:
+def _first(score: str, ascending: bool) -> str:
+    return score if ascending else "-" + score
+
+
+def _keys(group: str | Sequence[str]) -> list[str]:
+    return [group] if isinstance(group, str) else list(group)
+
+
+def dcg(
+    df: DataFrame, group: str | Sequence[str], score: str, gain: str, k: int = 5, tiebreak: Sequence[str] = (), ascending: bool = False
+) -> DataFrame:
     """Discounted gain of the first ``k`` rows of each group, with their number."""
-    first = score if ascending else "-" + score
-    top = top_k(df, [group], [first, *tiebreak], k)
-    return top.groupBy(col(group)).agg(_discounted(gain).alias("dcg"), F.count(F.lit(1)).alias("depth"))
+    keys = _keys(group)
+    top = top_k(df, keys, [_first(score, ascending), *tiebreak], k)
+    return top.groupBy(*[col(c) for c in keys]).agg(_discounted(gain).alias("dcg"), F.count(F.lit(1)).alias("depth"))
 
 
-def ideal_dcg(df: DataFrame, group: str, gain: str, k: int = 5) -> DataFrame:
+def ideal_dcg(df: DataFrame, group: str | Sequence[str], gain: str, k: int = 5) -> DataFrame:
     """Best discounted gain that the rows of a group allow."""
-    top = top_k(df.select(col(group), col(gain)), [group], ["-" + gain], k)
-    return top.groupBy(col(group)).agg(_discounted(gain).alias("idcg"))
+    keys = _keys(group)
+    top = top_k(df.select(*[col(c) for c in [*keys, gain]]), keys, ["-" + gain], k)
+    return top.groupBy(*[col(c) for c in keys]).agg(_discounted(gain).alias("idcg"))
+
+
+def _both_orders(df: DataFrame, keys: list[str], order: list[str], gain: str, k: int) -> DataFrame:
+    """Predicted and ideal gain from one shuffle, for groups that fit a task."""
+    ranked = df.select(
+        *[col(c) for c in [*keys, gain]],
+        F.row_number().over(window(keys, order)).alias("_rank"),
+        F.row_number().over(window(keys, ["-" + gain])).alias("_ideal"),
+    )
+
+    def part(rank: str) -> Column:
+        return F.coalesce(F.sum(F.when(col(rank) <= k, safe_div(col(gain).cast("double"), log_discount(rank)))), F.lit(0.0))
+
+    return ranked.groupBy(*[col(c) for c in keys]).agg(
+        part("_rank").alias("dcg"), part("_ideal").alias("idcg"), F.least(F.count(F.lit(1)), F.lit(k)).alias("depth")
+    )
+
+
+def _limited_orders(df: DataFrame, keys: list[str], score: str, gain: str, k: int, tiebreak: Sequence[str], ascending: bool) -> DataFrame:
+    """Predicted and ideal gain for groups of any size.
+
+    Each order is cut to k rows per group by every task before its shuffle, and
+    both come out partitioned by group, so joining them moves nothing.
+    """
+    predicted = dcg(df, keys, score, gain, k, tiebreak, ascending)
+    ideal = prefixed(ideal_dcg(df, keys, gain, k), keys, "_i_")
+    return predicted.join(ideal, same_keys(keys, "_i_"), "inner")
 
 
 def ndcg(
     df: DataFrame,
-    group: str,
+    group: str | Sequence[str],
     score: str,
     gain: str,
     k: int = 5,
     tiebreak: Sequence[str] = (),
     on_short: str = "error",
     ascending: bool = False,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """NDCG@k per group; 0 where no row has a gain.
 
     ``on_short`` says what happens to groups of fewer than k rows: "error"
     fails the job, "filter" leaves them out, "keep" scores them.
-
-    Predicted and ideal order are each cut to k rows per group before their
-    shuffle, so neither side depends on the size of a group, and both come out
-    partitioned by group, so joining them moves nothing.
     """
     if on_short not in ("error", "filter", "keep"):
         raise ValueError("on_short is 'error', 'filter' or 'keep'")
-    needed = list(dict.fromkeys([group, score, gain, *[t.removeprefix("-") for t in tiebreak]]))
+    keys = _keys(group)
+    needed = dict.fromkeys([*keys, score, gain, *[t.removeprefix("-") for t in tiebreak]])
     rows = df.select(*[col(c) for c in needed])
-    predicted = dcg(rows, group, score, gain, k, tiebreak, ascending)
+    if hot_rows is not None and has_hot_group(rows, keys, hot_rows):
+        both = _limited_orders(rows, keys, score, gain, k, tiebreak, ascending)
+    else:
+        both = _both_orders(rows, keys, [_first(score, ascending), *tiebreak], gain, k)
     if on_short == "filter":
-        predicted = predicted.filter(F.col("depth") >= k)
-    ideal = ideal_dcg(rows, group, gain, k).withColumnRenamed(group, "_group")
-    both = predicted.join(ideal, col(group).eqNullSafe(F.col("_group")), "inner")
+        both = both.filter(F.col("depth") >= k)
     value = F.when(F.col("idcg") == 0, F.lit(0.0)).otherwise(safe_div("dcg", "idcg"))
     if on_short == "error":
         message = F.format_string(f"a group has %d rows, fewer than {k}", F.col("depth"))
         value = F.when(F.col("depth") < k, F.raise_error(message)).otherwise(value)
-    return both.select(col(group), value.cast("double").alias("ndcg"))
+    return both.select(*[col(c) for c in keys], value.cast("double").alias("ndcg"))
 
 
-def mean_ndcg(df: DataFrame, group: str, score: str, gain: str, k: int = 5, tiebreak: Sequence[str] = (), on_short: str = "error", by: str | None = None, ascending: bool = False) -> DataFrame:
+def mean_ndcg(
+    df: DataFrame,
+    group: str,
+    score: str,
+    gain: str,
+    k: int = 5,
+    tiebreak: Sequence[str] = (),
+    on_short: str = "error",
+    by: str | None = None,
+    ascending: bool = False,
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
     """Mean over groups; groups without a gain count as 0.
 
-    With ``by`` (such as a split) there is one row per value; a group must lie
-    in one of them.
+    With ``by`` (such as a split) there is one row per value.
     """
-    if by is None:
-        scores = ndcg(df, group, score, gain, k, tiebreak, on_short, ascending)
-        return scores.agg(F.avg("ndcg").alias("mean_ndcg"), F.count(F.lit(1)).alias("groups"))
-    both = F.struct(col(by), col(group))
-    keyed = df.withColumn("_pair", both)
-    scores = ndcg(keyed, "_pair", score, gain, k, tiebreak, on_short, ascending)
-    return scores.groupBy(F.col("_pair")[by].alias(by)).agg(
-        F.avg("ndcg").alias("mean_ndcg"), F.count(F.lit(1)).alias("groups")
-    )
+    keys = [group] if by is None else [group, by]
+    scores = ndcg(df, keys, score, gain, k, tiebreak, on_short, ascending, hot_rows)
+    means = [F.avg("ndcg").alias("mean_ndcg"), F.count(F.lit(1)).alias("groups")]
+    return scores.agg(*means) if by is None else scores.groupBy(col(by)).agg(*means)
 
 
 def rating_errors(df: DataFrame, truth: str, predicted: str) -> DataFrame:

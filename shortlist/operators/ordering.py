@@ -56,6 +56,22 @@ def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     return group_sizes(df, keys, "_n").filter(F.col("_n") > hot_rows)
 
 
+def has_hot_group(df: DataFrame, keys: Sequence[str], hot_rows: int, cleared: list[set[str]] | None = None) -> bool:
+    """Whether a group exceeds ``hot_rows`` rows.
+
+    A table of no more rows than that has none; counting rows first is answered
+    from file footers where it can be. ``cleared`` collects key sets without
+    such a group; finer sets have none either.
+    """
+    if cleared is not None and any(known <= set(keys) for known in cleared):
+        return False
+    if df.count() > hot_rows and not hot_groups(df, keys, hot_rows).isEmpty():
+        return True
+    if cleared is not None:
+        cleared.append(set(keys))
+    return False
+
+
 def same_keys(keys: Sequence[str], prefix: str) -> Column:
     """Null-safe equality of key columns with their prefixed copies."""
     return functools.reduce(
@@ -193,11 +209,9 @@ def running_total(
             total = F.coalesce(F.sum(col(value)).over(before), F.lit(0))
         return rows.withColumn(name, total)
 
-    if hot_rows is None:
+    if hot_rows is None or not has_hot_group(df, keys, hot_rows):
         return plain(df)
     hot = hot_groups(df, keys, hot_rows)
-    if hot.isEmpty():
-        return plain(df)
     unit = F.lit(1).cast("bigint") if value is None else col(value)
     if not keys:
         return _hot_totals(df, hot, keys, order, unit, name, hot_rows)
@@ -214,6 +228,45 @@ def positions(
     return running_total(df, keys, order, None, name, hot_rows)
 
 
+def attach(
+    df: DataFrame,
+    stats: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    hot_rows: int | None = HOT_ROWS,
+    source: DataFrame | None = None,
+    cleared: list[set[str]] | None = None,
+    null_safe: bool = False,
+) -> DataFrame:
+    """Join a table with one row per key back to the rows.
+
+    Adaptive execution does not split a hot key here, since the other side is an
+    aggregate and not a shuffle of its own. Rows of keys above ``hot_rows`` rows
+    are therefore joined apart, to a broadcast of their few statistics (at most
+    rows / hot_rows), and never shuffled. An unknown key counts as one key, so
+    that many unknown keys do not meet in one task either; unless ``null_safe``
+    it matches nothing. ``source`` is a shorter way to the same rows for the
+    size check.
+    """
+    keys = list(keys)
+
+    def join(rows: DataFrame, side: DataFrame) -> DataFrame:
+        if not null_safe:
+            return rows.join(side, keys, how)
+        joined = rows.join(prefixed(side, keys, "_a_"), same_keys(keys, "_a_"), how)
+        return joined.drop(*["_a_" + k for k in keys])
+
+    rows = df if source is None else source
+    if hot_rows is None or not has_hot_group(rows, keys, hot_rows, cleared):
+        return join(df, stats)
+    hot = hot_groups(rows, keys, hot_rows).select(*[col(k) for k in keys])
+    listed = F.broadcast(prefixed(hot, keys, "_h_"))
+    few = stats.join(listed, same_keys(keys, "_h_"), "left_semi")
+    large = df.join(listed, same_keys(keys, "_h_"), "left_semi")
+    small = df.join(listed, same_keys(keys, "_h_"), "left_anti")
+    return join(small, stats).unionByName(join(large, F.broadcast(few)))
+
+
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int, rank: str = "rank") -> DataFrame:
     """The first ``k`` rows of each group with their 1-based rank.
 
@@ -237,7 +290,7 @@ def exact_quantiles(
     placed = running_total(counts, keys, ["_v"], "_c", "_start", hot_rows)
     sizes = counts.groupBy(*[col(k) for k in keys]).agg(F.sum("_c").alias("_n"))
     if keys:
-        sized = placed.join(prefixed(sizes, keys, "_q_"), same_keys(keys, "_q_"), "inner")
+        sized = attach(placed, sizes, keys, "inner", hot_rows, source=counts, null_safe=True)
     else:
         sized = placed.withColumn("_n", sizes.select("_n").scalar())
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import safe_div
-from .ordering import HOT_ROWS, col, group_sizes, positions, running_total
+from .ordering import HOT_ROWS, attach, col, group_sizes, positions, running_total
 
 
 def by_modulo(df: DataFrame, group: str, name: str = "split", base: int = 10, test: int = 5, val: int = 1) -> DataFrame:
@@ -91,7 +91,7 @@ def time_blocks(df: DataFrame, group: str, time: str, folds: int = 3, hot_rows:
 
 def time_folds(df: DataFrame, group: str, time: str, folds: int = 3, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Rows with their block; fold i trains on blocks up to i and tests on i + 1."""
-    return df.join(time_blocks(df, group, time, folds, hot_rows), [group], "left")
+    return attach(df, time_blocks(df, group, time, folds, hot_rows), [group], "left", hot_rows)
 
 
 def fold_members(blocks: DataFrame, folds: int = 3) -> DataFrame:

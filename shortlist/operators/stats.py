@@ -2,8 +2,8 @@
 
 Statistics are aggregated first (map-side combined) and joined back, rather than
 computed in windows: a window would move every wide row by its key and hold a
-whole group in one task. The join-back is left to adaptive execution, which
-broadcasts a measured small side and splits a skewed partition of the row side.
+whole group in one task. In the join-back a small table of statistics is
+broadcast by its measured size, and hot keys are joined apart.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import safe_div
-from .ordering import HOT_ROWS, col, exact_quantiles, hot_groups, prefixed, same_keys
+from .ordering import HOT_ROWS, attach, col, exact_quantiles, has_hot_group, hot_groups, prefixed, same_keys
 
 REL_SHIFT = 1e-2  # keeps relative differences and log10 defined at zero
 DEFAULT_AGGS = ("mean", "median", "min", "max")
@@ -37,20 +37,6 @@ def key_known(keys: Sequence[str]) -> Column:
     return condition
 
 
-def has_hot_group(df: DataFrame, keys: Sequence[str], hot_rows: int, cleared: list[set[str]] | None = None) -> bool:
-    """Whether a group exceeds ``hot_rows`` rows.
-
-    ``cleared`` collects key sets without such a group; finer sets have none either.
-    """
-    if cleared is not None and any(known <= set(keys) for known in cleared):
-        return False
-    if not hot_groups(df, keys, hot_rows).isEmpty():
-        return True
-    if cleared is not None:
-        cleared.append(set(keys))
-    return False
-
-
 def _measure(agg: str, value: str, approx_median: bool) -> Column:
     if agg == "median" and approx_median:
         return F.percentile_approx(col(value), 0.5)
@@ -95,11 +81,6 @@ def group_stats(
     return aggregate(small).unionByName(hot)
 
 
-def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Join statistics back to the rows; unknown keys never match."""
-    return df.join(stats, list(keys), how)
-
-
 def numeric_columns(df: DataFrame, except_: Iterable[str] = ()) -> list[str]:
     skip = set(except_)
     return [
@@ -108,7 +89,11 @@ def numeric_columns(df: DataFrame, except_: Iterable[str] = ()) -> list[str]:
 
 
 def zscore_by(
-    df: DataFrame, group: str | Sequence[str], columns: Sequence[str] | None = None, suffix: str | None = None
+    df: DataFrame,
+    group: str | Sequence[str],
+    columns: Sequence[str] | None = None,
+    suffix: str | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Standardise columns inside each group by mean and sample deviation.
 
@@ -121,7 +106,7 @@ def zscore_by(
         *[F.avg(col(c)).alias(f"_mean_{c}") for c in columns],
         *[F.stddev_samp(col(c)).alias(f"_std_{c}") for c in columns],
     )
-    joined = attach(df, stats, keys)
+    joined = attach(df, stats, keys, hot_rows=hot_rows)
     scores = {
         c + (suffix or ""): safe_div(col(c) - col(f"_mean_{c}"), col(f"_std_{c}")) for c in columns
     }
@@ -130,7 +115,12 @@ def zscore_by(
 
 
 def normalize_by(
-    df: DataFrame, group: str, value: str, log10: bool = False, source: DataFrame | None = None
+    df: DataFrame,
+    group: str,
+    value: str,
+    log10: bool = False,
+    source: DataFrame | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add ``{value}[_log10]_norm_by_{group}``; rows with an unknown group are dropped.
 
@@ -141,7 +131,7 @@ def normalize_by(
     name = value + ("_log10" if log10 else "")
     rows = (df if source is None else source).filter(col(group).isNotNull())
     stats = rows.groupBy(col(group)).agg(F.avg(base).alias("_mean"), F.stddev_samp(base).alias("_std"))
-    joined = attach(df, stats, [group], "inner")
+    joined = attach(df, stats, [group], "inner", hot_rows, source)
     score = safe_div(base - F.col("_mean"), F.col("_std"))
     return joined.select(*[col(c) for c in df.columns], score.alias(f"{name}_norm_by_{group}"))
 
@@ -191,7 +181,7 @@ def composite(
     stats = group_stats(rows, on, {(value, a): n for a, n in names.items()}, approx_median, hot_rows)
     compare = [c for c in compare if c in df.columns]
     extra = relative_columns(value, list(names.values()), relative, compare)
-    joined = attach(rows, stats, on)
+    joined = attach(rows, stats, on, hot_rows=hot_rows)
     return joined.select(
         *[col(c) for c in df.columns],
         *[col(n) for n in names.values()],
@@ -204,7 +194,9 @@ def block_names(keys: Sequence[str], columns: Sequence[str]) -> list[tuple[str,
     return [(c, a, f"{a}_{c}_over_{k}") for k in keys for a in ("mean", "min", "max") for c in columns]
 
 
-def block_stats(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def block_stats(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
     """Mean, minimum and maximum of many columns over several single keys.
 
     One aggregate per key, not one per key and statistic.
@@ -216,13 +208,15 @@ def block_stats(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> D
             .groupBy(col(k))
             .agg(*[AGGREGATES[a](col(c)).alias(name) for c, a, name in block_names([k], columns)])
         )
-        out = attach(out, stats, [k])
+        out = attach(out, stats, [k], hot_rows=hot_rows, source=df)
     return out.select(*[col(c) for c in df.columns], *[col(n) for _, _, n in block_names(keys, columns)])
 
 
-def block_rel_diff(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def block_rel_diff(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
     """Block statistics and the relative difference of each value to them."""
-    stats = block_stats(df, keys, columns)
+    stats = block_stats(df, keys, columns, hot_rows)
     return stats.withColumns(
         {f"diff_to_{n}": safe_div(col(c) - col(n), col(n)) for c, _, n in block_names(keys, columns)}
     )

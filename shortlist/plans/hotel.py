@@ -16,7 +16,7 @@ from ..functions.columns import business_trip, flag, graded_target, row_min, saf
 from ..functions.numeric import log_shifted, transform_columns
 from ..functions.timeparts import time_columns
 from ..operators import encode, holidays, pricing, ranking, stats
-from ..operators.ordering import HOT_ROWS
+from ..operators.ordering import HOT_ROWS, attach
 from ..session import written
 from ..sources.schema import COMPETITORS
 from .catalogue import COMPOSITES, Composite, composite_features
@@ -172,7 +172,7 @@ def item_affinity(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
     """Ours: mean query affinity per item."""
     rows = df if source is None else source
     table = rows.groupBy("prop_id").agg(F.avg("srch_query_affinity_score").alias("mean_srch_query_affinity_score"))
-    return stats.attach(df, table, ["prop_id"])
+    return attach(df, table, ["prop_id"], source=source)
 
 
 def base_features(log: DataFrame, tiebreak: Sequence[str] = (), hot_rows: int | None = HOT_ROWS) -> DataFrame:
@@ -184,7 +184,7 @@ def base_features(log: DataFrame, tiebreak: Sequence[str] = (), hot_rows: int |
     for key in ("srch_id", "srch_destination_id", "prop_id"):
         df = ranking.index_in_group(df, key, "price_usd", ["srch_id", "prop_id", *tiebreak], hot_rows=hot_rows)
     shares = pricing.daily_items(log, "prop_id", "price_usd", "gross_bookings_usd", "srch_length_of_stay")
-    priced = pricing.price_columns(df, shares, "prop_id", "price_usd", "srch_length_of_stay")
+    priced = pricing.price_columns(df, shares, "prop_id", "price_usd", "srch_length_of_stay", log, hot_rows)
     return date_features(row_features(priced), log)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,13 +37,19 @@ def query(name: str, sql: str | None = None, digits: int = DIGITS) -> Callable[[
     return add
 
 
+def rounded(value: Column, digits: int) -> Column:
+    """Round in floating point; ``F.round`` goes through decimals and is several times slower."""
+    scale = F.lit(10.0**digits)
+    return F.rint(value * scale) / scale
+
+
 def settled(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """One integer width and a fixed number of digits, so that engines compare."""
     out = []
     for f in df.schema.fields:
         c = col(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), digits)
+            c = rounded(c.cast("double"), digits)
         elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
             c = c.cast("bigint")
         out.append(c.alias(f.name))

@@ -5,8 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from shortlist.operators.ordering import exact_quantiles, positions, running_total, top_k
-from shortlist.operators.stats import composite, group_stats, has_hot_group
+from shortlist.operators.ordering import attach, exact_quantiles, has_hot_group, positions, running_total, top_k
+from shortlist.operators.metrics import ndcg
+from shortlist.operators.stats import composite, group_stats, zscore_by
 
 
 @pytest.fixture(scope="module")
@@ -80,3 +81,40 @@ def test_top_k_limits_before_its_shuffle(skewed):
     assert "WindowGroupLimit" in plan
     partial, exchange = plan.rindex("WindowGroupLimit"), plan.index("Exchange hashpartitioning")
     assert partial > exchange
+
+
+@pytest.mark.parametrize("on_short", ["filter", "keep"])
+def test_ndcg_of_hot_groups(skewed, on_short):
+    rows = skewed.withColumn("gain", F.col("id") % 3).na.fill(0, ["gain"])
+    small = ndcg(rows, "k", "v", "gain", 5, ["id"], on_short, hot_rows=None)
+    large = ndcg(rows, "k", "v", "gain", 5, ["id"], on_short, hot_rows=50)
+    rounded = F.round("ndcg", 9).alias("ndcg")
+    assert small.count() == large.count() > 10
+    assert small.select("k", rounded).exceptAll(large.select("k", rounded)).count() == 0
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_join_back_of_hot_keys(skewed, how):
+    table = skewed.filter("k is null or k % 2 = 1").groupBy("k").agg(F.count("*").alias("c"))
+    table = table if how in ("left", "inner") else table.select("k")
+    plain = attach(skewed, table, ["k"], how, hot_rows=None)
+    apart = attach(skewed, table, ["k"], how, hot_rows=100)
+    assert plain.exceptAll(apart).count() == 0 and plain.count() == apart.count()
+
+
+def test_hot_rows_are_not_shuffled(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id")).alias("k"), (F.col("id") % 9).alias("v"))
+    out = zscore_by(rows, "k", ["v"], "_z", hot_rows=500)
+    hot = out.filter("k = 1").agg(F.count("v_z"), F.stddev_samp("v_z")).first()
+    assert hot[0] == 2000 and abs(hot[1] - 1) < 1e-9
+    assert out.count() == 3000
+
+
+@pytest.mark.parametrize("split", [None, "s"])
+def test_composite_of_hot_keys(skewed, split):
+    rows = skewed.withColumn("s", F.col("id") % 2).filter("v is not null")
+    plain = composite(rows, ["k"], "v", split=split, hot_rows=None)
+    apart = composite(rows, ["k"], "v", split=split, hot_rows=60)
+    rounded = [F.round(f"`{c}`", 9).alias(c) if t == "double" else F.col(c) for c, t in plain.dtypes]
+    assert plain.select(rounded).exceptAll(apart.select(rounded)).count() == 0
+    assert plain.count() == apart.count()
