@@ -49,7 +49,7 @@ def settled(df: DataFrame, digits: int = DIGITS) -> DataFrame:
         c = col(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             scaled.append((c.cast("double") * scale).alias(f.name))
-            whole = F.when(c < 0, F.ceil(c - F.lit(0.5))).otherwise(F.floor(c + F.lit(0.5)))
+            whole = (c + F.signum(c) * F.lit(0.5)).cast("bigint")
             out.append((whole.cast("double") / scale).alias(f.name))
         elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
             scaled.append(c.cast("bigint").alias(f.name))
