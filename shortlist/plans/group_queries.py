@@ -311,7 +311,7 @@ def _block_sql(diff: bool) -> str:
         parts.append(f"a_{k} AS (SELECT {k}, {aggregates} FROM lineitem GROUP BY {k})")
         joins.append(f"JOIN a_{k} USING ({k})")
     if diff:
-        out = [f"round(({c} - {n}) / nullif({n}, 0), 6) AS diff_to_{n}" for c, _, n in names]
+        out = [f"round(({c} - {n}) / nullif({n}, 0), 7) AS diff_to_{n}" for c, _, n in names]
     else:
         out = [f"round({n}, 6) AS {n}" for _, _, n in names]
     return f"WITH {', '.join(parts)} SELECT {LINE_ID_SQL}, {', '.join(out)} FROM lineitem {' '.join(joins)}"
@@ -323,7 +323,7 @@ def _block_stats(spark, folder):
     return stats.block_stats(rows, BLOCK_KEYS, BLOCK_COLUMNS).drop("l_extendedprice", "l_discount")
 
 
-@query("block_rel_diff", _block_sql(True))
+@query("block_rel_diff", _block_sql(True), digits=7)
 def _block_rel_diff(spark, folder):
     rows = lineitem(spark, folder, *dict.fromkeys([*LINE_ID, *BLOCK_COLUMNS]))
     out = stats.block_rel_diff(rows, BLOCK_KEYS, BLOCK_COLUMNS)
