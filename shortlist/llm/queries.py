@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, mixing
+from . import chat, mixing, near_docs
 from .common import table
 from .registry import query
 
@@ -46,6 +46,12 @@ def _op1(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op7_simhash_near_dedup")
+def _op7(spark, sf_dir):
+    linked = near_docs.near_duplicates(table(spark, sf_dir, "documents"))
+    return linked.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 @query(
     "op8_chat_round_trip",
     rf"""WITH said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
