@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, mixing, near_docs
-from .common import table
+from . import chat, mixing, near_docs, toxicity
+from .common import remainder, table
 from .registry import query
 
 PROBE = "</s>[INST] ok [/INST]"
@@ -46,6 +46,17 @@ def _op1(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op3_toxicity")
+def _op3(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    model = toxicity.fit(docs, labels.filter(~held_out))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 @query("op7_simhash_near_dedup")
 def _op7(spark, sf_dir):
     linked = near_docs.near_duplicates(table(spark, sf_dir, "documents"))
