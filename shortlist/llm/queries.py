@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, mixing, near_docs, toxicity
+from . import benchmarks, chat, mixing, near_docs, toxicity
 from .common import remainder, table
 from .registry import query
 
@@ -92,3 +92,10 @@ def _op8(spark, sf_dir):
         F.sha2(trained, 256).alias("loss_sha256"),
         F.col("chars").alias("formatted_chars"),
     )
+
+
+@query("op10_benchmark_leaks")
+def _op10(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = benchmarks.leaks(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
