@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import benchmarks, chat, mixing, near_docs, toxicity
+from . import benchmarks, chat, licenses, mixing, near_docs, toxicity
 from .common import remainder, table
 from .registry import query
 
@@ -57,6 +57,19 @@ def _op3(spark, sf_dir):
     )
 
 
+@query("op5_license_scan")
+def _op5(spark, sf_dir):
+    scanned = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = F.col("license")
+    return scanned.select(
+        "doc_id",
+        *[found[c].alias(c) for c in ("n_words", "n_base", "first_word", "last_word")],
+        F.array_join(found["base_labels"], ",").alias("base_labels"),
+        F.array_join(found["labels"], ",").alias("labels"),
+        found["score"].alias("score"),
+    )
+
+
 @query("op7_simhash_near_dedup")
 def _op7(spark, sf_dir):
     linked = near_docs.near_duplicates(table(spark, sf_dir, "documents"))
