@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import benchmarks, chat, licenses, mixing, near_docs, toxicity
+from . import benchmarks, chat, licenses, mixing, near_docs, secrets, toxicity
 from .common import remainder, table
 from .registry import query
 
@@ -57,6 +57,20 @@ def _op3(spark, sf_dir):
     )
 
 
+@query("op4_secret_scan")
+def _op4(spark, sf_dir):
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("secrets")
+    kinds = F.transform(spans, lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("bigint").alias("n_" + kind) for kind in secrets.KINDS[:3]
+    ]
+    base = F.filter(spans, lambda s: s["kind"] != "cnn")
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.as_text(base), 256).alias("base_sha256"), secrets.as_text(spans).alias("spans")
+    )
+
+
 @query("op5_license_scan")
 def _op5(spark, sf_dir):
     scanned = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
