@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import benchmarks, chat, licenses, mixing, near_docs, secrets, toxicity
+from . import benchmarks, chat, licenses, mixing, near_docs, quality, secrets, toxicity
 from .common import remainder, table
 from .registry import query
 
@@ -121,6 +121,13 @@ def _op8(spark, sf_dir):
     )
 
 
+@query("op9_quality_rules")
+def _op9(spark, sf_dir):
+    rated = quality.rate(table(spark, sf_dir, "documents"))
+    columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return rated.select(*columns)
+
+
 @query("op10_benchmark_leaks")
 def _op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
