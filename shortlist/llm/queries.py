@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import benchmarks, chat, licenses, mixing, near_docs, quality, secrets, toxicity
+from . import benchmarks, chat, fuzzy_lines, licenses, mixing, near_docs, quality, secrets, toxicity
 from .common import remainder, table
 from .registry import query
 
@@ -84,6 +84,18 @@ def _op5(spark, sf_dir):
     )
 
 
+@query("op6_fuzzy_lines")
+def _op6(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = fuzzy_lines.deduplicate(docs)
+    return kept.select(
+        "doc_id",
+        F.size("removed").cast("bigint").alias("n_removed"),
+        F.array_join("removed", ",").alias("removed"),
+        F.char_length("text").cast("bigint").alias("kept_chars"),
+    )
+
+
 @query("op7_simhash_near_dedup")
 def _op7(spark, sf_dir):
     linked = near_docs.near_duplicates(table(spark, sf_dir, "documents"))
