@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
-from . import benchmarks, chat, fuzzy_lines, licenses, mixing, near_docs, quality, secrets, toxicity
+from . import benchmarks, chat, fuzzy_lines, licenses, mixing, mixing_lm, near_docs, quality, secrets, toxicity
 from .common import remainder, table
 from .registry import query
 
@@ -46,6 +48,19 @@ def _op1(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op2_context_mixing")
+def _op2(spark, sf_dir):
+    held_out = remainder(F.col("doc_id"), 10) == 0
+    scored = mixing_lm.score(table(spark, sf_dir, "documents"), ~held_out)
+    bits = F.when(F.col("bytes") > 0, -F.col("score") * math.log2(10) / F.col("bytes"))
+    return scored.select(
+        "doc_id",
+        (~F.col("train")).alias("held_out"),
+        *("n_tokens", "n_known", "train_tokens", "base_score", "score"),
+        bits.alias("bits_per_byte"),
+    )
+
+
 @query("op3_toxicity")
 def _op3(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
