@@ -19,7 +19,9 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def input_bytes(df: DataFrame, *texts: str) -> int:
-    """UTF-8 bytes of the text columns, to size what depends on them."""
-    total = sum((F.coalesce(F.octet_length(F.col(t)), F.lit(0)) for t in texts), F.lit(0))
-    return df.select(F.sum(total.cast("bigint")).alias("n")).first()["n"] or 0
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have; Spark's names ignore case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -34,7 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .components import connected, hamming
+from .common import fresh
+from .components import checked, connected, hamming
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -64,15 +65,15 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp) of every row."""
+    """(doc_id, copy, fp) of every row; copy is a hash that tells texts of one id apart."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            fps = [fingerprint(t if isinstance(t, str) else None, shingle_words) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": np.array(fps, np.int64)})
+    @F.pandas_udf("bigint")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([fingerprint(t, shingle_words) for t in texts], dtype="int64")
 
-    source = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return source.mapInPandas(run, f"doc_id {df.schema[doc_id].dataType.simpleString()}, fp bigint")
+    source = F.coalesce(F.col(text), F.lit(""))
+    return df.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("copy"), run(source).alias("fp"))
 
 
 def byte_at(fp: Column, place: int) -> Column:
@@ -121,7 +122,7 @@ def matches(a: Column, b: Column) -> Column:
 def near_duplicates(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """(doc_id, fp, component_id) of every row; the id of a component is its smallest doc_id."""
+    """(doc_id, copy, fp, root, component_id) of every row; the id of a component is its smallest doc_id."""
     prints = written(fingerprints(df, doc_id, text, shingle_words))
     classes = prints.groupBy(F.col("fp").alias("id")).agg(F.min("doc_id").alias("first"))
     classes = written(classes)
@@ -137,10 +138,33 @@ def near_duplicates(
     # Every class with the first document of its component.
     rooted = written(classes.join(roots, "id").select("id", "root", "first"))
     firsts = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    linked = written(rooted.join(firsts, "root").select(F.col("id").alias("fp"), "component_id"))
+    linked = written(rooted.join(firsts, "root").select(F.col("id").alias("fp"), "root", "component_id"))
     named = written(
         classes.join(linked, classes["id"] == linked["fp"], "left").select(
-            F.col("id").alias("fp"), F.coalesce("component_id", "first").alias("component_id")
+            F.col("id").alias("fp"), F.coalesce("root", "id").alias("root"), F.coalesce("component_id", "first").alias("component_id")
         )
     )
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(named, "fp").select("doc_id", "copy", "fp", "root", "component_id")
+
+
+def deduplicate(df: DataFrame, doc_id: str = "doc_id", text: str = "text", **parameters: int) -> DataFrame:
+    """One row of each component: the smallest id, and of several texts or rows of that id one.
+
+    Only rows that repeat an id and a text exactly are shuffled with their text, unless more rows go than may be broadcast.
+    """
+    linked = written(near_duplicates(df, doc_id, text, **parameters))
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "copy")
+    kept = linked.groupBy("root").agg(F.min(rank).alias("first"))
+    kept = written(kept.select(F.col("first.doc_id").alias("_id"), F.col("first.copy").alias("_copy")))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("copy") == F.col("_copy"))
+    id_, copy = fresh(df, "_id"), fresh(df, "_copy")
+    gone = linked.join(kept, same, "left_anti").select(F.col("doc_id").alias(id_), F.col("copy").alias(copy)).distinct()
+    gone = written(gone)
+    counts = linked.groupBy("doc_id", "copy").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    twice = written(counts.select(F.col("doc_id").alias(id_), F.col("copy").alias(copy)))
+    in_side = (F.xxhash64(F.col(text)) == F.col(copy)) & F.col(doc_id).eqNullSafe(F.col(id_))
+    rest = df.join(checked(gone), in_side, "left_anti")
+    if twice.isEmpty():
+        return rest
+    repeated = rest.join(checked(twice), in_side, "left_semi").withColumn(copy, F.xxhash64(F.col(text)))
+    return rest.join(checked(twice), in_side, "left_anti").unionByName(repeated.dropDuplicates([doc_id, copy]).drop(copy))

@@ -36,9 +36,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
+from .common import fresh
 
 MAX_DOCS = 8000
-MAX_TERMS = 400_000
+MAX_TERMS = 200_000
 # Numbers of neighbouring tokens, of strongest tokens, and of letters that a beginning has.
 WIDTHS = (1, 4, 20)
 TOP = 3
@@ -343,3 +344,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
             yield pd.Series([known.value.score(t) for t in texts], dtype="float64")
 
     return docs.withColumn(name, run(F.coalesce(F.col(text), F.lit(""))))
+
+
+def reject(docs: DataFrame, labels: DataFrame, text: str = "text", threshold: float = THRESHOLD, **parameters: str | int) -> DataFrame:
+    """The documents that score below ``threshold``, with their columns."""
+    name = fresh(docs, "_score")
+    scored = score(docs, fit(docs, labels, text=text, **parameters), text, name)
+    return scored.filter(F.col(name) < threshold).drop(name)
