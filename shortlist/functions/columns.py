@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,4 +87,14 @@ def log_discount(rank: str | Column) -> Column:
 
 def feature_family(name: str | Column) -> Column:
     """What follows the first ``per_`` of a feature name, further marks removed."""
-    return F.array_join(F.slice(F.split(as_column(name), "per_"), 2, 1000), "")
+    parts = F.split(as_column(name), "per_")
+    return F.array_join(F.slice(parts, F.lit(2), F.size(parts)), "")
+
+
+def draw(keys: Sequence[str], seed: int = 42) -> Column:
+    """A random number in [0, 1) that depends on the key columns and the seed alone.
+
+    It is taken from an md5 digest, which every engine computes alike. Unknown keys are left out of the digested text.
+    """
+    text = F.concat_ws("|", *[F.col(f"`{k}`").cast("string") for k in keys], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(16**13))

@@ -11,8 +11,10 @@ from ..functions.columns import log_discount, safe_div
 from .ordering import HOT_ROWS, col, has_hot_group, prefixed, running_total, same_keys, top_k, window
 
 
-def _discounted(gain: str, rank: str = "rank") -> Column:
-    return F.sum(safe_div(col(gain).cast("double"), log_discount(rank)))
+def _discounted(gain: str, rank: str = "rank", k: int | None = None) -> Column:
+    """Discounted gain of a group, of ranks up to ``k``; an unknown gain adds nothing."""
+    part = safe_div(col(gain).cast("double"), log_discount(rank))
+    return F.coalesce(F.sum(part if k is None else F.when(col(rank) <= k, part)), F.lit(0.0))
 
 
 def _first(score: str, ascending: bool) -> str:
@@ -46,12 +48,10 @@ def _both_orders(df: DataFrame, keys: list[str], order: list[str], gain: str, k:
         F.row_number().over(window(keys, order)).alias("_rank"),
         F.row_number().over(window(keys, ["-" + gain])).alias("_ideal"),
     )
-
-    def part(rank: str) -> Column:
-        return F.coalesce(F.sum(F.when(col(rank) <= k, safe_div(col(gain).cast("double"), log_discount(rank)))), F.lit(0.0))
-
     return ranked.groupBy(*[col(c) for c in keys]).agg(
-        part("_rank").alias("dcg"), part("_ideal").alias("idcg"), F.least(F.count(F.lit(1)), F.lit(k)).alias("depth")
+        _discounted(gain, "_rank", k).alias("dcg"),
+        _discounted(gain, "_ideal", k).alias("idcg"),
+        F.least(F.count(F.lit(1)), F.lit(k)).alias("depth"),
     )
 
 

@@ -4,10 +4,9 @@ A plain window sends each group to one task. That is right for the many small
 groups of a search log and wrong for a group that holds a large part of all
 rows, or for an order over a whole table. Here the size of every group is
 counted first (one column-pruned, map-side combined aggregate). Groups of up to
-``hot_rows`` rows use the plain window. Larger ones are cut along their own
-order by splitters taken from a hash sample of the order keys; every piece is
-numbered on its own and shifted by the total of the pieces before it. The sample
-decides only where the cuts lie, never which rows are kept.
+``hot_rows`` rows use the plain window. The rows of larger ones are cut into
+ranges along their order; every piece is numbered on its own and shifted by the
+total of the pieces before it. Columns beside keys and order are not sorted.
 
 Order columns are names; a leading ``-`` sorts descending. Nulls come last.
 """
@@ -16,15 +15,17 @@ from __future__ import annotations
 
 import functools
 import operator
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 HOT_ROWS = 2_000_000
-MAX_SPLITTERS = 4096
-SPLITTERS_PER_HOT = 16
-HASH_RANGE = 1 << 40
+PIECES_PER_HOT = 4
+# Spark samples about a hundred order keys per piece on the driver.
+MAX_PIECES = 20_000
 
 
 def col(name: str) -> Column:
@@ -83,106 +84,36 @@ def prefixed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
     return df.withColumnsRenamed({k: prefix + k for k in keys})
 
 
-def _precedes(left: Callable[[str], Column], right: Callable[[str], Column], order: Sequence[str]) -> Column:
-    """Whether one row sorts strictly before another; nulls last."""
-    result = F.lit(False)
-    for o in reversed(order):
-        a, b = left(o.removeprefix("-")), right(o.removeprefix("-"))
-        smaller = a > b if o.startswith("-") else a < b
-        first = F.when(a.isNull(), False).when(b.isNull(), True).otherwise(smaller)
-        result = first | (a.eqNullSafe(b) & result)
-    return result
-
-
-def _splitters(rows: DataFrame, hot: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame:
-    """Per hot group the sorted order keys at which it is cut.
+def pieces(rows: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame:
+    """Keys, order columns, ``_value``, ``_row`` and ``_piece``: rows cut along (keys, order, row) into ranges.
 
-    The arrays hold about 16 * rows / hot_rows entries in total.
+    Pieces follow each other in that order. Spark finds the cuts from a sample of
+    fixed size per piece; it decides where they lie and never which rows are kept. The table
+    is written, which fixes the numbers of the pieces.
     """
-    wanted = F.least(F.lit(MAX_SPLITTERS), F.ceil(F.lit(SPLITTERS_PER_HOT) * F.col("_n") / F.lit(hot_rows)))
-    rates = hot.select(
-        *[col(k) for k in keys],
-        F.least(F.lit(1.0), wanted / F.col("_n")).alias("_rate"),
-    )
-    names = names_of(order)
-    drawn = F.pmod(F.xxhash64(*[col(n) for n in names]), F.lit(HASH_RANGE)) < F.col("_rate") * F.lit(float(HASH_RANGE))
-    if keys:
-        joined = rows.join(F.broadcast(prefixed(rates, keys, "_r_")), same_keys(keys, "_r_"), "inner")
-    else:
-        joined = rows.withColumn("_rate", rates.select("_rate").scalar())
-    # The aggregate needs keys and order columns together, once each.
-    columns = list(dict.fromkeys([*keys, *names]))
-    drawn_rows = joined.filter(drawn).select(*[col(c) for c in columns]).distinct()
-    numbered = drawn_rows.withColumn("_i", F.row_number().over(window(keys, order)))
-    entry = F.struct(F.col("_i"), *[col(n) for n in names])
-    return numbered.groupBy(*[col(k) for k in keys]).agg(F.array_sort(F.collect_list(entry)).alias("_cuts"))
-
-
-def _bin(order: Sequence[str]) -> Column:
-    """Number of splitters before a row, by binary search in ``_cuts``."""
-    steps = MAX_SPLITTERS.bit_length() + 2
-    start = F.struct(F.lit(0).alias("lo"), F.coalesce(F.size("_cuts"), F.lit(0)).alias("hi"))
-
-    def step(state: Column, _: Column) -> Column:
-        lo, hi = state["lo"], state["hi"]
-        middle = F.shiftright(lo + hi, 1)
-        cut = F.get(F.col("_cuts"), middle)
-        right = (lo < hi) & _precedes(lambda n: cut[n], col, order)
-        low = F.when(right, middle + 1).otherwise(lo)
-        high = F.when((lo < hi) & ~right, middle).otherwise(hi)
-        return F.struct(low.alias("lo"), high.alias("hi"))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda s: s["lo"])
+    names = list(dict.fromkeys([*keys, *names_of(order), "_value", "_row"]))
+    slim = rows.select(*[col(n) for n in names])
+    count = min(MAX_PIECES, max(2, -(-PIECES_PER_HOT * slim.count() // hot_rows)))
+    along = [*[col(k).asc_nulls_first() for k in keys], *order_by(order), col("_row").asc()]
+    return written(slim.repartitionByRange(count, *along).withColumn("_piece", F.spark_partition_id()))
 
 
 def _hot_totals(
-    rows: DataFrame, hot: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str, hot_rows: int
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str, hot_rows: int
 ) -> DataFrame:
-    columns = rows.columns
-    # Copies of one row are counted, placed as one block and written out again,
-    # so that even a group of copies is spread.
-    blocks = (
-        rows.groupBy(*[col(c) for c in columns])
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_value", value)
-        .withColumn("_tie", F.xxhash64(*[col(c) for c in columns]))
-    )
-    total_order = [*order, "_tie"]
-    cuts = _splitters(blocks, hot, keys, total_order, hot_rows)
-    if keys:
-        cut_rows = blocks.join(F.broadcast(prefixed(cuts, keys, "_c_")), same_keys(keys, "_c_"), "left")
-    else:
-        cut_rows = blocks.withColumn("_cuts", cuts.select("_cuts").scalar())
-    binned = cut_rows.withColumn("_bin", _bin(total_order)).drop("_cuts", *["_c_" + k for k in keys])
-    piece = [*keys, "_bin"]
-    before = window(piece, total_order).rowsBetween(Window.unboundedPreceding, -1)
-    block_total = F.col("_value") * F.col("_copies")
-    inside = binned.withColumn("_inside", F.coalesce(F.sum(block_total).over(before), F.lit(0)))
-    piece_before = window(keys, ["_bin"]).rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
-        binned.groupBy(*[col(k) for k in piece])
-        .agg(F.sum(block_total).alias("_piece"))
-        .withColumn("_shift", F.coalesce(F.sum("_piece").over(piece_before), F.lit(0)))
-        .drop("_piece")
-    )
-    # Rows are already partitioned by group and piece, so this join does not move them.
+    """Totals before each row. Only keys and order columns are sorted; the rows meet their totals by number."""
+    tagged = written(rows.withColumns({"_value": F.coalesce(value, F.lit(0)), "_row": F.monotonically_increasing_id()}))
+    cut = pieces(tagged, keys, order, hot_rows)
+    piece = [*keys, "_piece"]
+    before = window(piece, [*order, "_row"]).rowsBetween(Window.unboundedPreceding, -1)
+    inside = cut.select(*[col(c) for c in piece], "_row", F.coalesce(F.sum("_value").over(before), F.lit(0)).alias("_inside"))
+    piece_before = window(keys, ["_piece"]).rowsBetween(Window.unboundedPreceding, -1)
+    sums = cut.groupBy(*[col(c) for c in piece]).agg(F.sum("_value").alias("_sum"))
+    shifts = sums.withColumn("_shift", F.coalesce(F.sum("_sum").over(piece_before), F.lit(0))).drop("_sum")
     placed = inside.join(prefixed(shifts, piece, "_s_"), same_keys(piece, "_s_"), "inner")
-
-    def write_out(blocks_: DataFrame, copy: Column) -> DataFrame:
-        with_copy = blocks_.withColumn("_copy", copy)
-        shift = F.col("_shift") + F.col("_inside") + F.col("_copy") * F.col("_value")
-        return with_copy.select(*[col(c) for c in columns], shift.alias(name))
-
-    few = placed.filter(F.col("_copies") <= hot_rows)
-    many = placed.filter(F.col("_copies") > hot_rows)
-    chunks = many.withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / F.lit(hot_rows))))
-    ).repartition(F.col("_tie"), F.col("_chunk"))
-    first = F.col("_chunk") * F.lit(hot_rows)
-    last = F.least(first + F.lit(hot_rows), F.col("_copies")) - 1
-    return write_out(few, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1))).unionByName(
-        write_out(chunks, F.explode(F.sequence(first, last)))
-    )
+    totals = placed.select(F.col("_row").alias("_r_row"), (F.col("_shift") + F.col("_inside")).alias("_total"))
+    joined = tagged.join(totals, F.col("_row") == F.col("_r_row"), "inner")
+    return joined.select(*[col(c) for c in rows.columns], F.col("_total").alias(name))
 
 
 def running_total(
@@ -211,14 +142,14 @@ def running_total(
 
     if hot_rows is None or not has_hot_group(df, keys, hot_rows):
         return plain(df)
-    hot = hot_groups(df, keys, hot_rows)
     unit = F.lit(1).cast("bigint") if value is None else col(value)
     if not keys:
-        return _hot_totals(df, hot, keys, order, unit, name, hot_rows)
+        return _hot_totals(df, keys, order, unit, name, hot_rows)
+    hot = hot_groups(df, keys, hot_rows)
     listed = F.broadcast(prefixed(hot.select(*[col(k) for k in keys]), keys, "_h_"))
     large = df.join(listed, same_keys(keys, "_h_"), "left_semi")
     small = df.join(listed, same_keys(keys, "_h_"), "left_anti")
-    return plain(small).unionByName(_hot_totals(large, hot, keys, order, unit, name, hot_rows))
+    return plain(small).unionByName(_hot_totals(large, keys, order, unit, name, hot_rows))
 
 
 def positions(

@@ -7,8 +7,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import safe_div
-from .ordering import HOT_ROWS, attach, col, group_sizes, positions, running_total
+from ..functions.columns import draw, safe_div
+from ..session import written
+from .ordering import HOT_ROWS, attach, col, group_sizes, pieces, positions, running_total, window
 
 
 def by_modulo(df: DataFrame, group: str, name: str = "split", base: int = 10, test: int = 5, val: int = 1) -> DataFrame:
@@ -19,13 +20,12 @@ def by_modulo(df: DataFrame, group: str, name: str = "split", base: int = 10, te
 
 def by_hash(df: DataFrame, group: str, size: float = 0.7, seed: int = 42, name: str = "split") -> DataFrame:
     """Random split of whole groups; the same group lands the same way in every run."""
-    draw = F.pmod(F.xxhash64(col(group), F.lit(seed)), F.lit(1_000_000))
-    return df.withColumn(name, F.when(draw < F.lit(int(size * 1_000_000)), "train").otherwise("test"))
+    return df.withColumn(name, F.when(draw([group], seed) < F.lit(size), "train").otherwise("test"))
 
 
 def fold_by_hash(df: DataFrame, keys: list[str], folds: int = 3, seed: int = 42, name: str = "fold") -> DataFrame:
     """Random fold number from 0."""
-    return df.withColumn(name, F.pmod(F.xxhash64(*[col(k) for k in keys], F.lit(seed)), F.lit(folds)).cast("int"))
+    return df.withColumn(name, F.floor(draw(keys, seed) * folds).cast("int"))
 
 
 def group_starts(df: DataFrame, group: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
@@ -54,7 +54,7 @@ def two_stage(
     df: DataFrame, group: str, a: float = 0.9, b: float = 0.9, name: str = "split", hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """The ordered split, then once more on its first part: train, val, test."""
-    starts = group_starts(df, group, hot_rows)
+    starts = written(group_starts(df, group, hot_rows))
     outer, first_part = _cut(starts, group, df.count(), a)
     inner, _ = _cut(starts, group, first_part, b)
     label = F.when(col(group) < F.lit(inner), "train").when(col(group) < F.lit(outer), "val").otherwise("test")
@@ -114,21 +114,31 @@ def overlap(df: DataFrame, group: str, split: str = "split") -> DataFrame:
 def group_changes(df: DataFrame, group: str, order: list[str], name: str = "is_change", hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Whether a row belongs to another group than the row before it.
 
-    Positions are found first, then each row meets its predecessor by position,
-    so no task walks the whole table.
+    Rows are cut into ranges of the order. Each range looks back inside itself,
+    and its first row at the last row of the range before.
     """
-    placed = positions(df, [], order, "_position", hot_rows)
-    before = placed.select((F.col("_position") + 1).alias("_next"), col(group).alias("_before"))
-    joined = placed.join(before, F.col("_position") == F.col("_next"), "left")
-    changed = F.col("_next").isNull() | ~col(group).eqNullSafe(F.col("_before"))
-    return joined.select(*[col(c) for c in df.columns], changed.alias(name))
+    slim = df.withColumns({"_value": F.lit(0), "_row": F.monotonically_increasing_id()})
+    tagged = written(slim)
+    cut = pieces(tagged, [], [*order, group], hot_rows or HOT_ROWS)
+    ahead = window(["_piece"], [*order, group, "_row"])
+    inside = cut.select("_row", "_piece", col(group).alias("_group"), F.row_number().over(ahead).alias("_n"), F.lag(group).over(ahead).alias("_before"))
+    inside = written(inside)
+    last = inside.groupBy("_piece").agg(F.max_by(F.struct("_group"), "_n").alias("_last"))
+    edges = last.select(F.col("_piece").alias("_p"), F.lag("_last").over(window([], ["_piece"])).alias("_edge"))
+    joined = inside.join(edges, F.col("_piece") == F.col("_p"))
+    first = F.col("_n") == 1
+    changed = F.when(first, F.col("_edge").isNull() | ~F.col("_group").eqNullSafe(F.col("_edge._group"))).otherwise(
+        ~F.col("_group").eqNullSafe(F.col("_before"))
+    )
+    flags = joined.select(F.col("_row").alias("_r"), changed.alias(name))
+    return tagged.join(flags, F.col("_row") == F.col("_r")).select(*[col(c) for c in df.columns], col(name))
 
 
-def sample_rows(df: DataFrame, share: float = 0.1, seed: int = 42) -> DataFrame:
-    """Keep each row with the given probability."""
-    return df.sample(False, share, seed)
+def sample_rows(df: DataFrame, keys: list[str], share: float = 0.1, seed: int = 42) -> DataFrame:
+    """Keep each row with the given probability; rows of equal keys stay or go together."""
+    return df.filter(draw(keys, seed) < F.lit(share))
 
 
-def sample_n(df: DataFrame, n: int = 100_000, seed: int = 42) -> DataFrame:
-    """A fixed number of rows at random; tasks keep n rows each, not all."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def sample_n(df: DataFrame, keys: list[str], n: int = 100_000, seed: int = 42) -> DataFrame:
+    """A fixed number of rows at random, the same in every run; tasks keep n rows each, not all."""
+    return df.orderBy(draw(keys, seed), *[col(k) for k in keys]).limit(n)

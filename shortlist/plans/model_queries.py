@@ -61,6 +61,23 @@ def _rating_biases(spark, folder):
     return factors.rating_biases(ratings, mean, 5.3)[1]
 
 
+@query(
+    "factor_step",
+    f"""WITH {_RATINGS_SQL}, q AS (SELECT u, r, i % 3 - 1.0 AS a, i % 5 / 4.0 AS b FROM t),
+      s AS (SELECT u, sum(a * a) + 0.4 * count(*) AS aa, sum(a * b) AS ab, sum(b * b) + 0.4 * count(*) AS bb,
+        sum(a * r) AS ar, sum(b * r) AS br FROM q GROUP BY 1)
+      SELECT u AS "user", round((ar * bb - br * ab) / (aa * bb - ab * ab), 6) AS first,
+        round((br * aa - ar * ab) / (aa * bb - ab * ab), 6) AS second FROM s""",
+)
+def _factor_step(spark, folder):
+    """One half step of the factor model for given item factors."""
+    ratings = _ratings(spark, folder)
+    given = F.array(F.col("item") % 3 - 1.0, F.col("item") % 5 / 4.0)
+    known = ratings.select("item").distinct().withColumn("item_factors", given)
+    solved = factors.solve_side(ratings, known, "user", "item", 2, 0.4)
+    return solved.select("user", F.col("user_factors")[0].alias("first"), F.col("user_factors")[1].alias("second"))
+
+
 @query(
     "cocluster_means",
     f"""WITH {_RATINGS_SQL} SELECT u % 3 AS user_cluster, i % 4 AS item_cluster, count(*) AS n, round(sum(r), 6) AS total FROM t GROUP BY 1, 2""",
@@ -219,6 +236,6 @@ def _drop_importance(spark, folder):
         return linear.fit_pairwise(part, GROUP, GAIN, columns).transform
 
     train, val = rows.filter("split = 'train'"), rows.filter("split = 'val'")
-    return evaluate.drop_importance(train, val, fit, FEATURES[:3], GROUP, GAIN)
+    return evaluate.drop_importance(train, val, fit, FEATURES, GROUP, GAIN)
 
 

@@ -109,31 +109,56 @@ def _group_changes(spark, folder):
     return splits.group_changes(rows, "user_id", ["ts", "event_id"]).select("event_id", "is_change")
 
 
-@query("split_hash")
+# Draws come from the integer keys of a row, whose text is the same in every engine.
+DRAW_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+
+
+def _draw_sql(keys: list[str]) -> str:
+    return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(keys)}, '42')), 1, 13) AS BIGINT) / CAST({16**13} AS DOUBLE)"
+
+
+@query(
+    "split_hash",
+    f"SELECT {LINE_ID_SQL}, CASE WHEN {_draw_sql(['l_orderkey'])} < CAST(0.7 AS DOUBLE) THEN 'train' ELSE 'test' END AS split FROM lineitem",
+)
 def _split_hash(spark, folder):
     return splits.by_hash(lineitem(spark, folder, *LINE_ID), "l_orderkey", 0.7)
 
 
-@query("fold_hash")
+@query("fold_hash", f"SELECT {LINE_ID_SQL}, CAST(floor({_draw_sql(DRAW_KEYS)} * 3) AS BIGINT) AS fold FROM lineitem")
 def _fold_hash(spark, folder):
-    return splits.fold_by_hash(lineitem(spark, folder, *LINE_ID), LINE_ID, 3)
+    return splits.fold_by_hash(lineitem(spark, folder, *LINE_ID), DRAW_KEYS, 3)
 
 
-@query("sample_rows")
+@query("sample_rows", f"SELECT {LINE_ID_SQL} FROM lineitem WHERE {_draw_sql(DRAW_KEYS)} < CAST(0.1 AS DOUBLE)")
 def _sample_rows(spark, folder):
-    return splits.sample_rows(lineitem(spark, folder, *LINE_ID), 0.1)
+    return splits.sample_rows(lineitem(spark, folder, *LINE_ID), DRAW_KEYS, 0.1)
 
 
-@query("sample_n")
+@query(
+    "sample_n",
+    f"""SELECT {', '.join(DRAW_KEYS)} FROM (SELECT *, {_draw_sql(DRAW_KEYS)} AS draw FROM lineitem)
+      ORDER BY draw, {', '.join(DRAW_KEYS)} LIMIT 1000""",
+)
 def _sample_n(spark, folder):
-    return splits.sample_n(lineitem(spark, folder, *LINE_ID), 1000)
+    return splits.sample_n(lineitem(spark, folder, *DRAW_KEYS), DRAW_KEYS, 1000)
 
 
-@query("random_baseline")
+@query(
+    "random_baseline",
+    f"""WITH b AS (SELECT *, {GAIN_SQL} g, {_draw_sql(DRAW_KEYS)} AS draw FROM lineitem),
+      r AS (SELECT l_orderkey, g, count(*) OVER (PARTITION BY l_orderkey) n,
+        row_number() OVER (PARTITION BY l_orderkey ORDER BY draw DESC, l_partkey, l_suppkey, l_linenumber, g) rk,
+        row_number() OVER (PARTITION BY l_orderkey ORDER BY g DESC) ik FROM b),
+      a AS (SELECT l_orderkey, max(n) n, sum(CASE WHEN rk <= 5 THEN g / log2(rk + 1) ELSE 0 END) dcg,
+        sum(CASE WHEN ik <= 5 THEN g / log2(ik + 1) ELSE 0 END) idcg FROM r GROUP BY 1)
+      SELECT round(avg(CASE WHEN idcg = 0 THEN 0 ELSE dcg / nullif(idcg, 0) END), 6) AS mean_ndcg, count(*) AS groups
+        FROM a WHERE n >= 5""",
+)
 def _random_baseline(spark, folder):
     """NDCG@5 of a random order, the floor for every ranker."""
-    rows = graded_lines(spark, folder).withColumn("ord", F.xxhash64(*LINE_ID, F.lit(42)))
-    return metrics.mean_ndcg(rows, "l_orderkey", "ord", "gain", 5, LINE_TAIL, "filter")
+    ranked = ranking.random_rank(graded_lines(spark, folder), "l_orderkey", "l_partkey", 42, ["l_suppkey", "l_linenumber"], "gain")
+    return metrics.mean_ndcg(ranked, "l_orderkey", "rank", "gt", 5, ["gt"], "filter", ascending=True)
 
 
 _RANKED_SQL = f"""b AS (SELECT *, {GAIN_SQL} g FROM lineitem),
@@ -162,6 +187,21 @@ def ndcg_per_group(spark, folder):
     return metrics.ndcg(_graded(spark, folder), "l_orderkey", "l_extendedprice", "gain", 5, LINE_TAIL, "filter")
 
 
+@query(
+    "ndcg_unknown_gain",
+    f"""WITH b AS (SELECT *, CASE WHEN l_linestatus = 'O' THEN NULL ELSE {GAIN_SQL} END g FROM lineitem),
+      r AS (SELECT l_orderkey, g, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, {LINE_TAIL_SQL}) rk,
+        row_number() OVER (PARTITION BY l_orderkey ORDER BY g DESC NULLS LAST) ik FROM b),
+      a AS (SELECT l_orderkey, coalesce(sum(CASE WHEN rk <= 5 THEN g / log2(rk + 1) END), 0) dcg,
+        coalesce(sum(CASE WHEN ik <= 5 THEN g / log2(ik + 1) END), 0) idcg FROM r GROUP BY 1)
+      SELECT l_orderkey, round(CASE WHEN idcg = 0 THEN 0 ELSE dcg / nullif(idcg, 0) END, 6) AS ndcg FROM a""",
+)
+def _ndcg_unknown_gain(spark, folder):
+    """An unknown gain is no gain, on the plan for hot groups as on the plain one."""
+    rows = graded_lines(spark, folder).withColumn("gain", F.when(F.col("l_linestatus") != "O", F.col("gain")))
+    return metrics.ndcg(rows, "l_orderkey", "l_extendedprice", "gain", 5, LINE_TAIL, "keep", hot_rows=5)
+
+
 @query("ndcg_keep_short", f"WITH {_RANKED_SQL} SELECT l_orderkey, round(ndcg, 6) AS ndcg FROM m")
 def _ndcg_keep_short(spark, folder):
     return metrics.ndcg(_graded(spark, folder), "l_orderkey", "l_extendedprice", "gain", 5, LINE_TAIL, "keep")

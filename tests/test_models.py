@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shortlist.models import assembly, evaluate, factors, linear, trees
+from shortlist.models import assembly, evaluate, factors, linear, store, trees
 
 
 @pytest.fixture(scope="module")
@@ -129,9 +129,34 @@ def test_factors(ratings, rows):
 
 
 def test_factors_of_hot_ids(ratings):
-    model = factors.fit_factors(ratings, rank=3, iterations=5, penalty=0.05, hot_rows=8)
-    assert model.predict(ratings).filter("estimate is null").count() == 0
-    assert model.users.count() == 30 and model.items.count() == 20
+    """Ids above and below the size limit get the same factors."""
+    cold = factors.fit_factors(ratings, rank=3, iterations=3, penalty=0.05)
+    hot = factors.fit_factors(ratings, rank=3, iterations=3, penalty=0.05, hot_rows=8)
+    both = cold.predict(ratings).join(hot.predict(ratings).withColumnRenamed("estimate", "other"), ["user", "item"])
+    assert both.count() == ratings.count() and both.filter(F.abs(F.col("estimate") - F.col("other")) > 1e-6).count() == 0
+    assert hot.users.count() == 30 and hot.items.count() == 20
+
+
+def test_factors_beyond_int_ids(ratings):
+    far = ratings.select((F.col("user") + F.lit(1 << 40)).alias("user"), "item", "rating")
+    model = factors.fit_factors(far, rank=2, iterations=1, scale=(0.0, 3.0))
+    assert model.predict(far).agg(F.max("estimate")).first()[0] <= 3.0
+
+
+def test_stored_models(spark, planted, ratings, tmp_path):
+    ranker = linear.fit_pairwise(planted, "grp", "gain", ["a", "b"])
+    store.save(spark, ranker, str(tmp_path / "r"))
+    assert store.load(spark, str(tmp_path / "r")) == ranker
+    for n, model in enumerate((factors.fit_factors(ratings, 2, 1), factors.fit_coclusters(ratings, 2, 2, epochs=1))):
+        store.save(spark, model, str(tmp_path / f"m{n}"))
+        again = store.load(spark, str(tmp_path / f"m{n}"))
+        key = ["user", "item", "estimate"]
+        assert sorted(model.predict(ratings).select(*key).collect()) == sorted(again.predict(ratings).select(*key).collect())
+    rows = assembly.assemble(planted, assembly.fit_assembly(planted, ["a", "b"]))
+    for n, model in enumerate((assembly.fit_assembly(planted, ["a", "b"]), trees.fit_classifier(rows, "gain", maxIter=3))):
+        store.save(spark, model, str(tmp_path / f"p{n}"))
+        again, source = store.load(spark, str(tmp_path / f"p{n}")), planted if n == 0 else rows
+        assert again.transform(source).drop("split").exceptAll(model.transform(source).drop("split")).count() == 0
 
 
 def test_coclusters(ratings):

@@ -36,6 +36,27 @@ def test_running_total(skewed):
     assert plain.exceptAll(cut).count() == 0 and cut.exceptAll(plain).count() == 0
 
 
+def test_running_total_of_unknown_values(skewed):
+    plain = running_total(skewed, ["k"], ["id", "v"], "v", "t", hot_rows=None)
+    cut = running_total(skewed, ["k"], ["id", "v"], "v", "t", hot_rows=1)
+    rounded = [F.round("t", 9).alias("t"), "k", "id", "v"]
+    assert plain.select(rounded).exceptAll(cut.select(rounded)).count() == 0 and plain.count() == cut.count()
+
+
+def test_payload_of_any_type(skewed):
+    """Maps can be neither grouped nor hashed, and need not be."""
+    rows = skewed.withColumn("m", F.create_map("id", "v"))
+    cut = positions(rows, ["k"], ["id", "v"], "p", hot_rows=1)
+    plain = positions(rows, ["k"], ["id", "v"], "p", hot_rows=None)
+    as_text = ["k", "id", "v", F.to_json("m").alias("m"), "p"]
+    assert plain.select(as_text).exceptAll(cut.select(as_text)).count() == 0 and cut.count() == rows.count()
+
+
+def test_the_hot_path_broadcasts_no_sample(skewed):
+    plan = positions(skewed, [], ["v", "id"], "p", hot_rows=60)._jdf.queryExecution().toString()
+    assert "_cuts" not in plan and "collect_list" not in plan
+
+
 def test_tied_order_still_counts_every_place(skewed):
     cut = positions(skewed, ["k"], ["k"], "p", hot_rows=60)
     per = cut.groupBy("k").agg(F.count("*").alias("n"), F.countDistinct("p").alias("d"), F.max("p").alias("m"))
@@ -85,9 +106,11 @@ def test_top_k_limits_before_its_shuffle(skewed):
 
 @pytest.mark.parametrize("on_short", ["filter", "keep"])
 def test_ndcg_of_hot_groups(skewed, on_short):
-    rows = skewed.withColumn("gain", F.col("id") % 3).na.fill(0, ["gain"])
+    # Some gains are unknown, and all gains of some groups.
+    known = F.when(~((F.col("k") % 5).eqNullSafe(0)) & (F.col("id") % 4 != 1), F.col("id") % 3)
+    rows = skewed.withColumn("gain", known)
     small = ndcg(rows, "k", "v", "gain", 5, ["id"], on_short, hot_rows=None)
-    large = ndcg(rows, "k", "v", "gain", 5, ["id"], on_short, hot_rows=50)
+    large = ndcg(rows, "k", "v", "gain", 5, ["id"], on_short, hot_rows=1)
     rounded = F.round("ndcg", 9).alias("ndcg")
     assert small.count() == large.count() > 10
     assert small.select("k", rounded).exceptAll(large.select("k", rounded)).count() == 0
@@ -105,6 +128,8 @@ def test_join_back_of_hot_keys(skewed, how):
 def test_hot_rows_are_not_shuffled(spark):
     rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id")).alias("k"), (F.col("id") % 9).alias("v"))
     out = zscore_by(rows, "k", ["v"], "_z", hot_rows=500)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
     hot = out.filter("k = 1").agg(F.count("v_z"), F.stddev_samp("v_z")).first()
     assert hot[0] == 2000 and abs(hot[1] - 1) < 1e-9
     assert out.count() == 3000
