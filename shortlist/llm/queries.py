@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from . import benchmarks, chat, fuzzy_lines, licenses, mixing, mixing_lm, near_docs, quality, secrets, toxicity
+from . import benchmarks, chat, fuzzy_lines, licenses, mixing, mixing_lm, near_docs, quality, registry, secrets, toxicity
 from .common import remainder, table
 from .registry import query
 
