@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordering import HOT_ROWS, col, exact_quantiles, positions
@@ -35,6 +35,11 @@ def summary(df: DataFrame, columns: Sequence[str], hot_rows: int | None = HOT_RO
     return moments.join(quartiles, ["column"], "left")
 
 
+def _bin(x: Column, lo: Column, hi: Column, bins: int) -> Column:
+    """1-based bin of equal width; the upper end belongs to the last."""
+    return F.least(F.floor((x - lo) / ((hi - lo) / bins)) + 1, F.lit(bins)).cast("bigint")
+
+
 def histogram(df: DataFrame, column: str, bins: int = 100) -> DataFrame:
     """(bin, low, high, n): equal-width bins over [min, max], empty ones too."""
     x = col(column).cast("double")
@@ -44,7 +49,7 @@ def histogram(df: DataFrame, column: str, bins: int = 100) -> DataFrame:
         F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
     )
     lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
-    bucket = F.least(F.width_bucket(x, lo, hi, F.lit(bins)), F.lit(bins))
+    bucket = _bin(x, lo, hi, bins)
     counts = df.filter(x.isNotNull()).groupBy(bucket.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     width = (F.col("hi") - F.col("lo")) / bins
     numbered = ends.filter(F.col("lo").isNotNull()).select("*", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
@@ -112,14 +117,33 @@ def column_profile(df: DataFrame, columns: Sequence[str], bins: int = 100) -> Da
     parts = base.select("column", *[col(s).cast("double").alias(s) for s in stats]).unpivot(
         ["column"], stats, "item", "value"
     )
-    for c in columns:
-        counts = histogram(df, c, bins).select(
-            F.lit(c).alias("column"),
-            F.concat(F.lit("bin_"), F.col("bin").cast("string")).alias("item"),
-            F.col("n").cast("double").alias("value"),
-        )
-        parts = parts.unionByName(counts)
-    return parts
+    counts = _histograms(df, columns, bins).select(
+        "column", F.concat(F.lit("bin_"), F.col("bin").cast("string")).alias("item"), F.col("n").cast("double").alias("value")
+    )
+    return parts.unionByName(counts)
+
+
+def _histograms(df: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
+    """(column, bin, n) of all columns, empty bins too: one scan for the ends and one for the counts.
+
+    A column without a known value has no bins.
+    """
+    numbers = [col(c).cast("double") for c in columns]
+    ends = df.agg(*[f(x).alias(f"{e}{i}") for i, x in enumerate(numbers) for e, f in (("lo", F.min), ("hi", F.max))]).first()
+    entries, names = [], []
+    for i, (c, x) in enumerate(zip(columns, numbers)):
+        lo, hi = ends[f"lo{i}"], ends[f"hi{i}"]
+        if lo is None:
+            continue
+        names.append(c)
+        lo, hi = (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
+        entries.append(F.struct(F.lit(c).alias("column"), _bin(x, F.lit(lo), F.lit(hi), bins).alias("bin")))
+    if not entries:
+        return df.select(F.lit("").alias("column"), F.lit(0).cast("bigint").alias("bin"), F.lit(0).cast("bigint").alias("n")).limit(0)
+    counts = df.select(F.inline(F.array(*entries))).filter(F.col("bin").isNotNull())
+    counts = counts.groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n"))
+    frame = df.sparkSession.range(1, bins + 1).select(F.explode(F.array(*map(F.lit, names))).alias("column"), F.col("id").alias("bin"))
+    return frame.join(counts, ["column", "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def family_importance(importance: DataFrame, feature: str = "feature", score: str = "score") -> DataFrame:

@@ -442,7 +442,30 @@ def _corr_report(spark, folder):
     return profile.corr_report(graded_lines(spark, folder), CORR_COLUMNS, drop=1, take=4)
 
 
-@query("column_profile")
+_PROFILE_STATS = {
+    "n": "CAST(count({c}) AS DOUBLE)",
+    "mean": "avg({c})",
+    "std": "stddev_samp({c})",
+    "min": "min({c})",
+    "max": "max({c})",
+    "q25": "quantile_cont({c}, 0.25)",
+    "q50": "quantile_cont({c}, 0.5)",
+    "q75": "quantile_cont({c}, 0.75)",
+}
+
+
+def _profile_sql(c: str, bins: int) -> str:
+    stats = [
+        f"""SELECT '{c}' AS "column", '{name}' AS item, round(CAST({value.format(c=c)} AS DOUBLE), 6) AS value FROM lineitem"""
+        for name, value in _PROFILE_STATS.items()
+    ]
+    counts = f"""SELECT '{c}' AS "column", 'bin_' || b AS item, CAST(coalesce(n, 0) AS DOUBLE) AS value
+      FROM (SELECT unnest(generate_series(1, {bins})) AS b) LEFT JOIN (SELECT least(CAST(floor(({c} - lo) / ((hi - lo) / {bins})) AS BIGINT) + 1,
+        {bins}) AS bin, count(*) AS n FROM lineitem, (SELECT min({c}) AS lo, max({c}) AS hi FROM lineitem) GROUP BY 1) ON bin = b"""
+    return " UNION ALL ".join([*stats, counts])
+
+
+@query("column_profile", " UNION ALL ".join(_profile_sql(c, 50) for c in MEASURES))
 def _column_profile(spark, folder):
     return profile.column_profile(lineitem(spark, folder, *MEASURES), MEASURES, 50)
 
