@@ -133,21 +133,21 @@ def _listwise_rank(spark, folder):
     rows = _rows(spark, folder)
     train = rows.filter("split = 'train'")
     start = linear.fit_pairwise(train, GROUP, GAIN, FEATURES)
-    ranker = linear.fit_listwise(train, GROUP, GAIN, FEATURES, steps=2, start=start)
+    ranker = linear.fit_listwise(train, GROUP, GAIN, FEATURES, start=start)
     return ranker.transform(rows.filter("split = 'test'")).select(GROUP, "l_partkey", GAIN, "prediction")
 
 
 @query("pointwise_rank")
 def _pointwise_rank(spark, folder):
     rows = _vectors(_rows(spark, folder))
-    model = trees.fit_pointwise(rows, GROUP, GAIN, split="split", maxIter=5, maxDepth=4)
+    model = trees.fit_pointwise(rows, GROUP, GAIN, split="split", maxDepth=4)
     return model.transform(rows.filter("split = 'test'")).select(GROUP, "l_partkey", GAIN, "prediction")
 
 
 @query("classifier_score")
 def _classifier_score(spark, folder):
     rows = _vectors(_rows(spark, folder))
-    model = trees.fit_classifier(rows.filter("split = 'train'"), GAIN, maxIter=10)
+    model = trees.fit_classifier(rows.filter("split = 'train'"), GAIN, maxIter=100)
     scored = trees.score_classes(model, rows.filter("split = 'test'"))
     return scored.select(GROUP, "l_partkey", GAIN, "label", "prediction", "p_0", "p_1", "p_5")
 
@@ -158,13 +158,13 @@ def _factor_scores(spark, folder):
     lines = by_modulo(graded_lines(spark, folder), GROUP)
     train = factors.rating_triples(lines.filter("split <> 'test'"), GROUP, "l_partkey", GAIN)
     test = factors.rating_triples(lines.filter("split = 'test'"), GROUP, "l_partkey", GAIN)
-    return factors.fit_factors(train, rank=4, iterations=3).predict(test)
+    return factors.fit_factors(train).predict(test)
 
 
 @query("factor_search")
 def _factor_search(spark, folder):
     ratings = _ratings(spark, folder)
-    found = factors.search_factors(ratings, {"rank": [3], "iterations": [2], "penalty": [0.4, 0.6]}, folds=2)
+    found = factors.search_factors(ratings, {"rank": [3], "iterations": [2], "penalty": [0.4, 0.6]})
     names = ["rank", "iterations", "penalty", "rmse", "mae"]
     return evaluate.table(ratings, [tuple(r[n] for n in names) for r in found], names)
 
@@ -172,7 +172,7 @@ def _factor_search(spark, folder):
 @query("cocluster_scores")
 def _cocluster_scores(spark, folder):
     ratings = _ratings(spark, folder)
-    return factors.fit_coclusters(ratings, 3, 3, epochs=1).predict(ratings)
+    return factors.fit_coclusters(ratings, 3, 3).predict(ratings)
 
 
 def _scorers(train):
@@ -203,7 +203,7 @@ def _random_search(spark, folder):
         return linear.fit_pairwise(train, GROUP, GAIN, FEATURES, penalty, per_group).transform
 
     space = {"penalty": ("log", 1e-2, 10.0), "per_group": [True, False]}
-    found = evaluate.random_search(fit, val, space, GROUP, GAIN, calls=2)
+    found = evaluate.random_search(fit, val, space, GROUP, GAIN)
     return evaluate.table(rows, [(r["penalty"], r["per_group"], r["ndcg"]) for r in found], ["penalty", "per_group", "ndcg"])
 
 
@@ -218,13 +218,13 @@ def _permutation_importance(spark, folder):
     rows = _rows(spark, folder)
     ranker = linear.fit_pairwise(rows.filter("split = 'train'"), GROUP, GAIN, FEATURES)
     val = rows.filter("split = 'val'")
-    return evaluate.permutation_importance(val, ranker.transform, FEATURES, ROW, GROUP, GAIN)
+    return evaluate.permutation_importance(val, ranker.transform, FEATURES, ROW, GROUP, GAIN, repeats=3)
 
 
 @query("native_importance")
 def _native_importance(spark, folder):
     rows = _vectors(_rows(spark, folder))
-    model = trees.fit_pointwise(rows, GROUP, GAIN, split="split", kind="forest", numTrees=5, maxDepth=4)
+    model = trees.fit_pointwise(rows, GROUP, GAIN, split="split", kind="forest", maxDepth=4)
     return evaluate.table(rows, trees.native_importance(model, FEATURES), ["feature", "score"])
 
 
