@@ -4,8 +4,9 @@ Candidates share a bucket: some of the blocks of their fingerprints are equal.
 A bucket may hold very many fingerprints that all lie close together, so its
 pairs are not written out. Each member is held against one member of its bucket,
 the pivot, first. What links to a pivot is one group from then on, and only pairs
-that are not in one group yet can add anything. The rounds after the first take
-other pivots in the buckets that still hold several groups, and the last compares what is
+that are not in one group yet can add anything. A pivot has met its whole bucket
+and leaves it. The rounds after the first take other pivots in the buckets that
+still hold several groups, and the last compares what is
 left outside a bucket's largest group with the whole bucket. No link between
 different groups is lost, whatever the size of a bucket.
 
@@ -22,11 +23,11 @@ from pyspark.sql import functions as F
 
 from ..session import written
 
-# A side of up to this many rows of two longs, 32 MB in memory, is broadcast.
-BROADCAST_ROWS = 500_000
-ROUNDS = 3
+# A side of up to this many rows of two or three longs, some 64 MB in memory, is broadcast.
+BROADCAST_ROWS = 1_000_000
+ROUNDS = 2
 # Numbers that change the order of ids, so that rounds have different pivots.
-TURNS = (0, 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D)
+TURNS = (0, 0x2545F4914F6CDD1D)
 
 Near = Callable[[Column, Column], Column]
 Verify = Callable[[DataFrame], DataFrame]
@@ -80,17 +81,17 @@ def _followed(pointers: DataFrame) -> DataFrame:
 
 
 def _rooted(posts: DataFrame, roots: DataFrame) -> DataFrame:
-    return posts.drop("root").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    return written(posts.drop("root").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")))
 
 
-def _open(posts: DataFrame, turn: int) -> DataFrame:
-    """Members of buckets that hold several groups, with the bucket's pivot of this turn."""
+def _open(posts: DataFrame, fps: DataFrame, turn: int) -> DataFrame:
+    """Members of buckets that hold several groups, with the bucket's pivot of this turn and its fingerprint."""
     mixed = F.lit(turn)
     found = posts.groupBy("key").agg(
         F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.min(F.col("id").bitwiseXOR(mixed)).alias("_pivot")
     )
-    buckets = written(found.filter("_lo <> _hi").select("key", F.col("_pivot").bitwiseXOR(mixed).alias("pivot")))
-    return posts.drop("pivot").join(checked(buckets), "key")
+    buckets = found.filter("_lo <> _hi").select("key", F.col("_pivot").bitwiseXOR(mixed).alias("pivot"))
+    return posts.join(checked(written(buckets.join(fps, "pivot"))), "key")
 
 
 def connected(nodes: DataFrame, keys: Column, near: Near, verify: Verify | None = None) -> DataFrame:
@@ -109,18 +110,17 @@ def connected(nodes: DataFrame, keys: Column, near: Near, verify: Verify | None
         edges.append(written(verify(found) if verify else found))
         return components(reduce(DataFrame.unionByName, edges))
 
-    fps = nodes.select(F.col("id").alias("pivot"), F.col("fp").alias("_fp"))
+    fps = nodes.select(F.col("id").alias("pivot"), F.col("fp").alias("pivot_fp"))
     for turn in TURNS[:ROUNDS]:
-        members = _open(posts if roots is None else _rooted(posts, roots), turn)
-        posts = written(members.select("key", "id", "fp", "root", "pivot"))
-        if posts.isEmpty():
+        members = written(_open(posts if roots is None else _rooted(posts, roots), fps, turn).filter("id <> pivot"))
+        posts = members.drop("pivot", "pivot_fp")
+        if members.isEmpty():
             break
-        apart = posts.filter("id <> pivot").select("id", "fp", "pivot").distinct()
-        close = apart.join(fps, "pivot").filter(near(F.col("fp"), F.col("_fp")))
+        close = members.filter(near(F.col("fp"), F.col("pivot_fp")))
         roots = link(close.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")))
     if roots is None:
         return nodes.select("id", F.col("id").alias("root")).limit(0)
-    rest = written(_open(_rooted(posts.drop("pivot"), roots), TURNS[0]).drop("pivot"))
+    rest = written(_open(_rooted(posts, roots), fps, TURNS[0]).drop("pivot", "pivot_fp"))
     if rest.isEmpty():
         return roots
     # All of a bucket against what its largest group leaves out.
