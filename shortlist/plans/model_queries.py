@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -63,8 +64,8 @@ def _rating_biases(spark, folder):
 
 @query(
     "factor_step",
-    f"""WITH {_RATINGS_SQL}, q AS (SELECT u, r, i % 3 - 1.0 AS a, i % 5 / 4.0 AS b FROM t),
-      s AS (SELECT u, sum(a * a) + 0.4 * count(*) AS aa, sum(a * b) AS ab, sum(b * b) + 0.4 * count(*) AS bb,
+    f"""WITH {_RATINGS_SQL}, q AS (SELECT u, r, i % 3 - sqrt(2) AS a, i % 5 / sqrt(17) AS b FROM t),
+      s AS (SELECT u, sum(a * a) + sqrt(0.2) * count(*) AS aa, sum(a * b) AS ab, sum(b * b) + sqrt(0.2) * count(*) AS bb,
         sum(a * r) AS ar, sum(b * r) AS br FROM q GROUP BY 1)
       SELECT u AS "user", round((ar * bb - br * ab) / (aa * bb - ab * ab), 6) AS first,
         round((br * aa - ar * ab) / (aa * bb - ab * ab), 6) AS second FROM s""",
@@ -72,9 +73,9 @@ def _rating_biases(spark, folder):
 def _factor_step(spark, folder):
     """One half step of the factor model for given item factors."""
     ratings = _ratings(spark, folder)
-    given = F.array(F.col("item") % 3 - 1.0, F.col("item") % 5 / 4.0)
+    given = F.array(F.col("item") % 3 - math.sqrt(2), F.col("item") % 5 / math.sqrt(17))
     known = ratings.select("item").distinct().withColumn("item_factors", given)
-    solved = factors.solve_side(ratings, known, "user", "item", 2, 0.4)
+    solved = factors.solve_side(ratings, known, "user", "item", 2, math.sqrt(0.2))
     return solved.select("user", F.col("user_factors")[0].alias("first"), F.col("user_factors")[1].alias("second"))
 
 
