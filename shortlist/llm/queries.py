@@ -102,7 +102,7 @@ def _op5(spark, sf_dir):
 @query("op6_fuzzy_lines")
 def _op6(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    kept = fuzzy_lines.deduplicate(docs, max_bits=None)
+    kept = fuzzy_lines.deduplicate(docs, max_bits=None, min_words=1)
     return kept.select(
         "doc_id",
         F.size("removed").cast("bigint").alias("n_removed"),
