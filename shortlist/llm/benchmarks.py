@@ -1,19 +1,20 @@
 """Benchmark decontamination by a BM25 index of the test items with block-max bounds.
 
 Every document is cut into passages of ``PASSAGE`` words that overlap by half,
-and items into entries of at most half a passage, so that an entry that a
-document holds lies whole in one of its passages. A passage queries the index
+and items, their questions and their answers into entries of at most half a passage, so that an entry that a
+document holds lies whole in one of its passages, also where question and answer stand apart. A passage queries the index
 with its distinct terms; term weights come from how many pieces of the whole
 corpus hold a term. Retrieval is block-max WAND for all passages of a document
 at once: entries stand in blocks of ``BLOCK``, the index has the largest
 contribution of each term to each block, and the sum of these maxima over the
-rare terms of a passage, with the most that common terms can add, bounds the
+rarer terms of each entry that a passage holds, with the most that its common ones can add, bounds the
 score of every entry of a block. Only blocks whose bound reaches what an entry
 needs, ``SHARE`` of its score against itself, are scored, exactly. All entries that reach it are
 candidates, however many.
 
 A candidate item is verified over the whole document: at least ``OVERLAP`` of the
-five-word shingles of its question and of its answer must occur in it. An
+five-word shingles of the item must occur in it, those between question and answer counted or not, and both must be
+clearly present: ``PRESENT`` of their own shingles, or all but ``EDITED`` of the words, in order, at one place. An
 item is a question followed by its answer; where no separate answer is given it
 is the last sentence, or the second half of an item of one sentence.
 
@@ -45,11 +46,12 @@ STRIDE = PASSAGE // 2
 SHARE = 0.6
 SHINGLE = 5
 OVERLAP = 0.8
+# What each of question and answer must show: shingles, or else words that may be edited.
+PRESENT, EDITED = 0.5, 0.25
 BLOCK = 4
 K1, B, LENGTH = 1.2, 0.75, 64
 SHARD_BYTES = 16 << 20
-# Weights below which terms may count as common, and bounds that are held at once.
-COMMON = (0.0, 0.5, 1.0, 1.5, 2.0, 2.5)
+# Bounds that are held at once.
 CELLS = 1 << 22
 PIECE = 1 << 20
 _KEPT = bytes(i if chr(i) in "0123456789abcdefghijklmnopqrstuvwxyz" or i > 127 else 32 for i in range(256))
@@ -86,16 +88,32 @@ def shingles(words: list[bytes], size: int = SHINGLE) -> set[tuple[bytes, ...]]:
 
 
 def entries(items: list[tuple]) -> list[tuple[int, list[bytes]]]:
-    """(place of the item, words) of every entry: an item cut evenly into parts of at most half a passage."""
+    """(place of the item, words) of every entry: an item, its question and its answer cut evenly into parts of at most half a passage.
+
+    A question or answer of less than a shingle hardly counts in the overlap and is no entry of its own.
+    """
     out = []
     for i, (_, question, answer) in enumerate(items):
-        words = question + answer
-        count = -(-len(words) // STRIDE)
-        cuts = [len(words) * k // count for k in range(count + 1)] if count else []
-        out += [(i, words[a:b]) for a, b in zip(cuts, cuts[1:])]
+        apart = [x for x in (question, answer) if len(x) >= SHINGLE] if question and answer else []
+        for words in (question + answer, *apart):
+            count = -(-len(words) // STRIDE)
+            cuts = [len(words) * k // count for k in range(count + 1)] if count else []
+            out += [(i, words[a:b]) for a, b in zip(cuts, cuts[1:])]
     return out
 
 
+def edits(part: np.ndarray, numbers: np.ndarray) -> int:
+    """The fewest words to insert, remove or replace so that ``part`` stands somewhere in ``numbers``."""
+    place = np.arange(len(numbers) + 1)
+    row = np.zeros(len(numbers) + 1, np.int64)
+    for i, word in enumerate(part.tolist(), 1):
+        after = np.empty_like(row)
+        after[0] = i
+        after[1:] = np.minimum(row[:-1] + (numbers != word), row[1:] + 1)
+        row = np.minimum.accumulate(after - place) + place
+    return int(row.min())
+
+
 def vocabulary(items: list[tuple]) -> dict[bytes, int]:
     return {w: n + 1 for n, w in enumerate(sorted({w for _, q, a in items for w in q + a}))}
 
@@ -110,8 +128,10 @@ class Index:
     def __init__(self, items: list[tuple], terms: dict[bytes, int], held: np.ndarray, total: float, share: float = SHARE):
         """``held[t]`` of ``total`` pieces of the corpus hold term t."""
         self.terms, self.ids = terms, [x[0] for x in items]
-        self.parts = [(shingles(q), shingles(a)) for _, q, a in items]
-        cut = entries(items)
+        self.parts = [(shingles(q), shingles(a), shingles(q + a)) for _, q, a in items]
+        self.words = [tuple(np.array([terms[w] for w in part], np.int32) for part in (q, a)) for _, q, a in items]
+        # Entries of like length share a block, so that a short one does not lower what a block needs.
+        cut = sorted(entries(items), key=lambda x: len(x[1]))
         self.item = np.array([i for i, _ in cut], np.int64)
         size = len(terms) + 1
         weight = np.log(1 + (total - held + 0.5) / (held + 0.5))
@@ -128,18 +148,18 @@ class Index:
         # The terms of an entry and what they add, entry by entry.
         self.start = np.searchsorted(entry, np.arange(len(cut) + 1))
         self.term, self.gain = term, gain
-        common, least = np.zeros(size, bool), self.need
-        for bound in COMMON:
-            candidate = weight < bound
-            added = np.bincount(entry, np.where(candidate[term], gain, 0.0), len(cut))
-            if (2 * added > self.need).any():
-                break
-            common, least = candidate, self.need - added
-        self.rare = ~common
-        self.rare[0] = False
+        # The commonest terms of an entry that add up to half of what it needs are not looked up.
+        order = np.lexsort((weight[term], entry))
+        total_gain = np.cumsum(gain[order])
+        before = np.concatenate([[0.0], total_gain])[self.start]
+        common = np.zeros(len(term), bool)
+        common[order] = 2 * (total_gain - before[entry[order]]) <= self.need[entry[order]]
+        least = self.need - np.bincount(entry, np.where(common, gain, 0.0), len(cut))
+        kept = ~common
+        self.rare = np.zeros(size, bool)
+        self.rare[term[kept]] = True
         self.blocks = -(-len(cut) // BLOCK)
         self.least = np.array([least[b * BLOCK : (b + 1) * BLOCK].min() for b in range(self.blocks)])
-        kept = self.rare[term]
         key, most = term[kept] * max(1, self.blocks) + entry[kept] // BLOCK, gain[kept]
         order = np.argsort(key, kind="stable")
         unique, first = np.unique(key[order], return_index=True)
@@ -199,11 +219,19 @@ class Index:
             before = line[-SHINGLE:]
         out = []
         for i in sorted(found):
-            question, answer = (sum(x in seen for x in part) / len(part) if part else 1.0 for part in self.parts[i])
-            if question >= OVERLAP and answer >= OVERLAP:
+            hits = [sum(x in seen for x in part) for part in self.parts[i]]
+            sizes = [len(part) for part in self.parts[i]]
+            question, answer, whole = (h / n if n else 1.0 for h, n in zip(hits, sizes))
+            if max(whole, (hits[0] + hits[1]) / (sizes[0] + sizes[1])) < OVERLAP:
+                continue
+            if all(x >= PRESENT or self._edited(part, numbers) for x, part in zip((question, answer), self.words[i])):
                 out.append((i, question, answer))
         return out
 
+    def _edited(self, part: np.ndarray, numbers: np.ndarray) -> bool:
+        """Whether a part of at least a shingle stands in the text but for few of its words."""
+        return len(part) >= SHINGLE and edits(part, numbers) <= EDITED * len(part)
+
 
 def shards(
     benchmark: DataFrame, item_id: str, question: str, answer: str | None, shard_bytes: int = SHARD_BYTES

@@ -271,3 +271,22 @@ def test_separate_answers(rows):
     docs = rows("doc_id bigint, text string", [(1, prose(20, 15) + " forty two"), (2, prose(21, 15)), (3, "forty two")])
     found = benchmarks.leaks(docs, bench, question="q", answer="a").collect()
     assert {r["doc_id"]: [x["item_id"] for x in r["leaks"]] for r in found} == {1: [1], 2: [], 3: []}
+
+
+def test_edited_and_separated_items(rows):
+    """One word replaced anywhere, or question and answer far apart, is still a leak; a question without its answer is none."""
+    items = [(i, prose(7000 + i, 45).replace("\n", " "), prose(7500 + i, 6)) for i in range(8)]
+    docs, want = [], {}
+    for i, q, a in items:
+        words = f"{q} {a}".split()
+        edited = [" ".join([*words[:k], "replaced", *words[k + 1 :]]) for k in (0, 20, 46, 48, 50)]
+        whole = [*edited, f"{q} {prose(7800 + i, 600)} {a}", f"{a} {prose(7900 + i, 600)} {q}"]
+        for text in whole:
+            want[len(docs)] = [i]
+            docs.append((len(docs), f"{prose(8000 + len(docs), 300)} {text} {prose(8500 + len(docs), 300)}"))
+        for text in (q, a, " ".join(words[: len(words) // 2])):
+            want[len(docs)] = []
+            docs.append((len(docs), f"{prose(8000 + len(docs), 300)} {text} {prose(8500 + len(docs), 300)}"))
+    df, bench = rows("doc_id bigint, text string", docs), rows("item_id bigint, q string, a string", items)
+    found = benchmarks.leaks(df, bench, question="q", answer="a").collect()
+    assert {r["doc_id"]: [x["item_id"] for x in r["leaks"]] for r in found} == want
