@@ -6,7 +6,22 @@ import math
 
 from pyspark.sql import functions as F
 
-from . import benchmarks, chat, fuzzy_lines, licenses, mixing, mixing_lm, near_docs, quality, registry, secrets, toxicity
+from . import (
+    benchmarks,
+    chat,
+    fuzzy_lines,
+    licenses,
+    mixing,
+    mixing_lm,
+    near_docs,
+    passages,
+    quality,
+    registry,
+    secrets,
+    toxicity,
+    vector_codes,
+    whitening,
+)
 from .common import remainder, table
 from .registry import query
 
@@ -160,3 +175,73 @@ def _op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = benchmarks.leaks(docs, table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+@query("op11_whiten_embeddings")
+def _op11(spark, sf_dir):
+    whitened = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    by_component = F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "at")
+    columns = ("vec_id", "n", "deviation", "identity_error", by_component)
+    return whitened.select(*columns).select(
+        "vec_id", (F.col("place") + 1).alias("component"), "n", "deviation", "at.whitened", "at.explained", "identity_error"
+    )
+
+
+@query(
+    "op12_repeated_passages",
+    r"""WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+      keyed AS (SELECT doc_id, unnest(list_transform(range(0, greatest(0, len(words) - 49)), lambda s:
+          {'s': s, 'k': md5(array_to_string(list_slice(words, s + 1, s + 50), ' '))}), recursive := true) FROM texts),
+      firsts AS (SELECT k, min(doc_id) AS m FROM keyed GROUP BY k),
+      hits AS (SELECT doc_id, s FROM keyed JOIN firsts USING (k) WHERE doc_id > m),
+      gone AS (SELECT DISTINCT doc_id, s + o AS place FROM hits, range(50) AS r(o)),
+      said AS (SELECT doc_id, unnest(range(0, len(words))) AS place, unnest(words) AS word FROM texts),
+      kept AS (SELECT said.doc_id, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n
+        FROM said ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+      SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+        sha256(coalesce(text, '')) AS kept_sha256 FROM texts LEFT JOIN kept USING (doc_id)""",
+)
+def _op12(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = passages.remove_repeats(docs)
+    return found.select("doc_id", "passages.n_words", "passages.n_removed", F.sha2("passages.kept", 256).alias("kept_sha256"))
+
+
+def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Codes by comparing every part with every entry; each round is a step of its own."""
+    steps = [
+        """kept AS (SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor(CAST(c AS DOUBLE) * 256) AS BIGINT)) AS v
+        FROM embeddings WHERE embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda c: coalesce(NOT isfinite(c), true))) = 0)""",
+        f"""cut AS (SELECT vec_id, label, p, list_slice(v, p * (len(v) // {parts}) + 1, (p + 1) * (len(v) // {parts})) AS x
+        FROM kept, range({parts}) AS r(p))""",
+        f"""book0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM cut
+        QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id) <= {entries})""",
+    ]
+    for k in range(rounds + 1):
+        steps.append(
+            f"""far{k} AS (SELECT vec_id, label, cut.p, e, x, list_sum(list_transform(list_zip(x, c),
+          lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM cut JOIN book{k} AS b ON cut.p = b.p)"""
+        )
+        steps.append(
+            f"""near{k} AS (SELECT * FROM far{k} QUALIFY row_number() OVER (PARTITION BY vec_id, p ORDER BY d, e) = 1)"""
+        )
+        if k < rounds:
+            steps.append(
+                f"""sums{k} AS (SELECT p, e, i, CAST(floor(CAST(sum(x[i]) AS DOUBLE) / CAST(count(*) AS DOUBLE)) AS BIGINT) AS c
+        FROM (SELECT p, e, x, unnest(range(1, len(x) + 1)) AS i FROM near{k}) AS s GROUP BY p, e, i)"""
+            )
+            steps.append(f"""moved{k} AS (SELECT p, e, list(c ORDER BY i) AS c FROM sums{k} GROUP BY p, e)""")
+            steps.append(f"""book{k + 1} AS (SELECT p, e, coalesce(m.c, b.c) AS c FROM book{k} AS b LEFT JOIN moved{k} AS m USING (p, e))""")
+    return (
+        "WITH " + ", ".join(steps) + f""", coded AS (SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code,
+          CAST(sum(d) AS BIGINT) AS error FROM near{rounds} GROUP BY vec_id, label)
+      SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+        (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256 FROM coded"""
+    )
+
+
+@query("op13_vector_codes", _codes_sql())
+def _op13(spark, sf_dir):
+    coded = vector_codes.encode(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
