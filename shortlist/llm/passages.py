@@ -166,15 +166,20 @@ def anchors(df: DataFrame, window: int, prefix: int) -> DataFrame:
 def leaves(df: DataFrame, window: int) -> DataFrame:
     """The words of each leaf that is listed with its text; df: text, m, leaves."""
 
+    columns = ["g", "ctx", "m", "n", "off", "hot"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, parts = [], []
         for batch in batches:
             for text, m, wanted in zip(batch["text"], batch["m"], batch["leaves"]):
                 words = word_hashes(text).view("int64")
-                for at in range(0, len(wanted), LEAVES):
-                    out = pd.DataFrame.from_records(list(wanted[at : at + LEAVES]))
-                    ends = out["a"] + out["n"] + window - 1
-                    out["words"] = [words[a:e] for a, e in zip(out["a"], ends)]
-                    yield out.assign(m=m)[["g", "ctx", "m", "n", "off", "hot", "words"]]
+                for leaf in wanted:
+                    rows.append((leaf["g"], leaf["ctx"], m, leaf["n"], leaf["off"], leaf["hot"]))
+                    parts.append(words[leaf["a"] : leaf["a"] + leaf["n"] + window - 1])
+                    if len(rows) == LEAVES:
+                        yield pd.DataFrame(rows, columns=columns).assign(words=parts)
+                        rows, parts = [], []
+        yield pd.DataFrame(rows, columns=columns).assign(words=parts)
 
     return df.mapInPandas(run, LEAF)
 

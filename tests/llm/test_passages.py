@@ -54,8 +54,10 @@ def corpus(seed, count, size, alphabet):
     return docs + [(None, docs[0][1]), (docs[1][0], docs[1][1]), (docs[1][0], docs[2][1]), (None, docs[3][1])]
 
 
-@pytest.mark.parametrize("max_leaves", [passages.MAX_LEAVES, 2])
-@pytest.mark.parametrize(("window", "prefix", "alphabet"), [(6, 2, "ab"), (5, 1, "abcdefgh"), (8, 3, "abc"), (4, 4, "abcd")])
+@pytest.mark.parametrize(
+    ("window", "prefix", "alphabet", "max_leaves"),
+    [(6, 2, "ab", passages.MAX_LEAVES), (5, 1, "abcdefgh", passages.MAX_LEAVES), (8, 3, "abc", 2), (4, 4, "abcd", 2)],
+)
 def test_equals_a_dictionary_of_all_windows(spark, window, prefix, alphabet, max_leaves):
     docs = corpus(window * 10 + prefix, 60, 30, alphabet)
     assert fast(spark, docs, window=window, prefix=prefix, max_leaves=max_leaves) == slow(docs, window)
