@@ -5,12 +5,13 @@ from __future__ import annotations
 import math
 from dataclasses import replace
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from ..models import assembly, evaluate, factors, linear, trees
+from ..models import assembly, ensembles, evaluate, factors, linear, trees
 from ..operators.splits import by_modulo
 from ..session import written
-from .registry import GAIN_SQL, graded_lines, query
+from .registry import GAIN_SQL, LINE_TAIL, LINE_TAIL_SQL, graded_lines, query
 
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
 GROUP, GAIN = "l_orderkey", "gain"
@@ -138,10 +139,68 @@ def _listwise_rank(spark, folder):
     return ranker.transform(rows.filter("split = 'test'")).select(GROUP, "l_partkey", GAIN, "prediction")
 
 
+# (feature, threshold, value up to it, value beyond, weight of the tree)
+_STUMPS = (
+    ("l_extendedprice", 30000.0, 0.75, -0.5, 1.0),
+    ("l_discount", 0.045, -0.25, 0.5, 0.5),
+    ("l_quantity", 25.5, 1.0, -1.5, 0.25),
+    ("l_linenumber", 2.5, -0.5, 0.25, 0.5),
+)
+_STAGES_SQL = [
+    " + ".join(f"(CASE WHEN {c} <= {t} THEN {lo * w} ELSE {hi * w} END)" for c, t, lo, hi, w in _STUMPS[: n + 1])
+    for n in range(len(_STUMPS))
+]
+
+
+def _given_trees():
+    made = [ensembles.Tree.stump(FEATURES.index(c), t, lo, hi) for c, t, lo, hi, _ in _STUMPS]
+    return ensembles.Ensemble(tuple(made), tuple(s[-1] for s in _STUMPS))
+
+
+@query(
+    "staged_ndcg",
+    f"""WITH b AS (SELECT *, {GAIN_SQL} AS g, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem),
+      s AS ({" UNION ALL ".join(f"SELECT b.*, {n + 1} AS trees, CAST({e} AS DOUBLE) AS s FROM b" for n, e in enumerate(_STAGES_SQL))}),
+      r AS (SELECT l_orderkey, trees, g, n, row_number() OVER (PARTITION BY l_orderkey, trees ORDER BY s DESC, {LINE_TAIL_SQL}) AS rk,
+        row_number() OVER (PARTITION BY l_orderkey, trees ORDER BY g DESC) AS ik FROM s),
+      a AS (SELECT l_orderkey, trees, sum(CASE WHEN rk <= 5 THEN g / log2(rk + 1) ELSE 0 END) AS d,
+        sum(CASE WHEN ik <= 5 THEN g / log2(ik + 1) ELSE 0 END) AS i FROM r WHERE n >= 5 GROUP BY 1, 2)
+      SELECT trees, round(avg(CASE WHEN i = 0 THEN 0 ELSE d / nullif(i, 0) END), 6) AS mean_ndcg, count(*) AS "groups" FROM a GROUP BY 1""",
+)
+def _staged_ndcg(spark, folder):
+    """NDCG@5 after each of the given trees, in one pass."""
+    rows = graded_lines(spark, folder).withColumn("features", array_to_vector(F.array(*[F.col(c).cast("double") for c in FEATURES])))
+    return ensembles.staged_ndcg(rows, _given_trees(), GROUP, GAIN, tiebreak=LINE_TAIL)
+
+
+# Rows against which the given trees' scores are explained, in the order of FEATURES.
+_BACKGROUND = ((10.0, 20000.0, 0.02, 0.01, 1.0), (30.0, 40000.0, 0.06, 0.03, 3.0), (45.0, 70000.0, 0.09, 0.05, 5.0))
+
+
+def _share_sql(feature):
+    """Mean size of the share of a feature that one given tree reads, or of one that none reads."""
+    for c, t, lo, hi, w in _STUMPS:
+        if c == feature:
+            values = [lo if row[FEATURES.index(c)] <= t else hi for row in _BACKGROUND]
+            return f"avg(abs(CAST({w} AS DOUBLE) * ((CASE WHEN {c} <= {t} THEN {lo} ELSE {hi} END) - CAST({sum(values)} AS DOUBLE) / 3)))"
+    return "CAST(0 AS DOUBLE)"
+
+
+@query(
+    "tree_attribution",
+    " UNION ALL ".join(f"SELECT '{c}' AS feature, round({_share_sql(c)}, 6) AS attribution FROM lineitem" for c in FEATURES),
+)
+def _tree_attribution(spark, folder):
+    """Mean absolute Shapley value of each feature in the scores of the given trees, over all orders of the features."""
+    rows = graded_lines(spark, folder).select(array_to_vector(F.array(*[F.col(c).cast("double") for c in FEATURES])).alias("features"))
+    return evaluate.mean_attribution(ensembles.tree_attributions(rows, _given_trees(), _BACKGROUND), FEATURES)
+
+
 @query("pointwise_rank")
 def _pointwise_rank(spark, folder):
+    """Up to 500 trees, stopped 50 trees after the best NDCG@5 of validation rows."""
     rows = _vectors(_rows(spark, folder))
-    model = trees.fit_pointwise(rows, GROUP, GAIN, split="split", maxDepth=4)
+    model = ensembles.fit_boosted(rows, GROUP, GAIN, tiebreak=[ROW], rounds=500, patience=50, maxDepth=4)
     return model.transform(rows.filter("split = 'test'")).select(GROUP, "l_partkey", GAIN, "prediction")
 
 
