@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from ..models import assembly, ensembles, evaluate, factors, linear, trees
+from ..models import assembly, cocluster_search, ensembles, evaluate, factors, linear, trees
 from ..operators.splits import by_modulo
 from ..session import written
 from .registry import GAIN_SQL, LINE_TAIL, LINE_TAIL_SQL, graded_lines, query
@@ -183,7 +183,7 @@ def _share_sql(feature):
         if c == feature:
             values = [lo if row[FEATURES.index(c)] <= t else hi for row in _BACKGROUND]
             return f"avg(abs(CAST({w} AS DOUBLE) * ((CASE WHEN {c} <= {t} THEN {lo} ELSE {hi} END) - CAST({sum(values)} AS DOUBLE) / 3)))"
-    return "CAST(0 AS DOUBLE)"
+    return "max(CAST(0 AS DOUBLE))"
 
 
 @query(
@@ -229,6 +229,52 @@ def _factor_search(spark, folder):
     return evaluate.table(ratings, [tuple(r[n] for n in names) for r in found], names)
 
 
+def _epoch_sql():
+    """Two reassignments by comparing the squared error of every candidate cluster, from clusters u % 3 and i % 4."""
+
+    def means(k, cu, ci):
+        return f"""pair{k} AS (SELECT {cu} AS cu, {ci} AS ci, avg(r) AS a FROM c{k} GROUP BY 1, 2),
+      uc{k} AS (SELECT {cu} AS cu, avg(r) AS a FROM c{k} GROUP BY 1), ic{k} AS (SELECT {ci} AS ci, avg(r) AS a FROM c{k} GROUP BY 1)"""
+
+    return f"""WITH {_RATINGS_SQL}, um AS (SELECT u, avg(r) AS m FROM t GROUP BY 1), im AS (SELECT i, avg(r) AS m FROM t GROUP BY 1),
+      c0 AS (SELECT u, i, r, um.m AS mu, im.m AS mi, u % 3 AS cu, i % 4 AS ci FROM t JOIN um USING (u) JOIN im USING (i)),
+      {means(0, "cu", "ci")},
+      ue AS (SELECT u, x.cu, sum((r - (p.a + mu - x.a + mi - y.a)) ** 2) AS e FROM c0 CROSS JOIN uc0 x
+        JOIN ic0 y ON y.ci = c0.ci JOIN pair0 p ON p.cu = x.cu AND p.ci = c0.ci GROUP BY 1, 2),
+      un AS (SELECT u, arg_min(cu, e) AS cu FROM ue GROUP BY 1),
+      c1 AS (SELECT c0.u, i, r, mu, mi, un.cu, ci FROM c0 JOIN un ON un.u = c0.u),
+      {means(1, "cu", "ci")},
+      ie AS (SELECT i, y.ci, sum((r - (p.a + mu - x.a + mi - y.a)) ** 2) AS e FROM c1 CROSS JOIN ic1 y
+        JOIN uc1 x ON x.cu = c1.cu JOIN pair1 p ON p.cu = c1.cu AND p.ci = y.ci GROUP BY 1, 2),
+      n AS (SELECT i, arg_min(ci, e) AS ci FROM ie GROUP BY 1)
+      SELECT 'user' AS side, u AS id, cu AS "cluster" FROM un UNION ALL SELECT 'item', i, ci FROM n"""
+
+
+@query("cocluster_epoch", _epoch_sql())
+def _cocluster_epoch(spark, folder):
+    """The clusters of users and items after one epoch from given clusters."""
+    ratings = written(_ratings(spark, folder).withColumn("fold", F.lit(0)))
+    ordered = cocluster_search.in_order(ratings)
+    fits = [cocluster_search.Fit(cocluster_search.NO_FOLD, 3, 4)]
+    users = cocluster_search.start(ratings, "user", fits, 42).withColumn("cluster", F.array((F.col("user") % 3).cast("int")))
+    items = cocluster_search.start(ratings, "item", fits, 42).withColumn("cluster", F.array((F.col("item") % 4).cast("int")))
+    users, items, _, _ = cocluster_search.epoch(ordered, written(users), written(items), fits)
+    rows = [
+        state.select(F.lit(side).alias("side"), F.col(side).alias("id"), F.col("cluster")[0].alias("cluster"))
+        for side, state in (("user", users), ("item", items))
+    ]
+    return rows[0].unionByName(rows[1])
+
+
+@query("cocluster_search")
+def _cocluster_search(spark, folder):
+    """Errors of 27 grid points in three folds each, 27 fits side by side."""
+    ratings = _ratings(spark, folder)
+    found = cocluster_search.search_coclusters(ratings)
+    names = ["user_clusters", "item_clusters", "epochs", "rmse", "mae"]
+    return evaluate.table(ratings, [tuple(r[n] for n in names) for r in found], names)
+
+
 @query("cocluster_scores")
 def _cocluster_scores(spark, folder):
     ratings = _ratings(spark, folder)
