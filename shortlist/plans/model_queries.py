@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from ..models import assembly, cocluster_search, ensembles, evaluate, factors, linear, trees
+from ..models import assembly, cocluster_search, ensembles, evaluate, factor_search, factors, linear, trees
 from ..operators.splits import by_modulo
 from ..session import written
 from .registry import GAIN_SQL, LINE_TAIL, LINE_TAIL_SQL, graded_lines, query
@@ -223,8 +223,9 @@ def _factor_scores(spark, folder):
 
 @query("factor_search")
 def _factor_search(spark, folder):
+    """Errors of 18 grid points in three folds each, all fits side by side."""
     ratings = _ratings(spark, folder)
-    found = factors.search_factors(ratings, {"rank": [3], "iterations": [2], "penalty": [0.4, 0.6]})
+    found = factor_search.search_factors(ratings)
     names = ["rank", "iterations", "penalty", "rmse", "mae"]
     return evaluate.table(ratings, [tuple(r[n] for n in names) for r in found], names)
 
