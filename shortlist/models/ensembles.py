@@ -22,11 +22,9 @@ from pyspark.sql import functions as F
 
 from ..operators.ordering import HOT_ROWS, col, has_hot_group
 from ..session import shared_folder
+from .frames import BATCH, whole_groups
 from .trees import LABEL, centred_gain
 
-# Rows that are scored by all trees at once.
-BATCH = 8192
-
 
 @dataclass(frozen=True)
 class Tree:
@@ -166,25 +164,6 @@ def _stage_ndcg(
     return kept if keep else (sums, int(full.sum()))
 
 
-def _whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Frames of about BATCH rows that hold whole groups, from rows sorted by group."""
-    held: list[pd.DataFrame] = []
-    for batch in batches:
-        for at in range(0, len(batch), BATCH):
-            held.append(batch.iloc[at : at + BATCH])
-            if sum(map(len, held)) < BATCH:
-                continue
-            frame = pd.concat(held)
-            code = pd.factorize(frame["_group"], use_na_sentinel=False)[0]
-            last = code == code[-1]
-            if not last.all():
-                yield frame[~last]
-                frame = frame[last]
-            held = [frame]
-    if held:
-        yield pd.concat(held)
-
-
 def staged_ndcg(
     df: DataFrame,
     ensemble: Ensemble,
@@ -216,7 +195,7 @@ def staged_ndcg(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, groups = np.zeros(len(ensemble.trees)), 0
-        for frame in _whole_groups(batches):
+        for frame in whole_groups(batches, "_group"):
             sums, count = _stage_ndcg(frame, ensemble, "_gain", k, ties, keep=False)
             total, groups = total + sums, groups + count
         yield pd.DataFrame({"trees": np.arange(1, len(total) + 1), "total": total, "n": groups})

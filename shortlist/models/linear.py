@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import safe_div
 from ..operators.metrics import ideal_dcg
-from ..operators.ordering import HOT_ROWS, attach, col, running_total, top_k
+from ..operators.ordering import HOT_ROWS, attach, col, has_hot_group, running_total, top_k
 from ..session import written
+from .frames import whole_groups
 
 
 @dataclass(frozen=True)
@@ -92,8 +93,13 @@ def weighted_sums(df: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, np
     Each task returns one matrix; they are added row by row in a second
     aggregate. The result has columns * columns numbers.
     """
-    columns, size = list(columns), len(columns)
+    columns = list(columns)
     parts = df.select(*columns, "w", "c").mapInPandas(_partial_sums(columns), "i int, v array<double>")
+    return _added(parts, len(columns))
+
+
+def _added(parts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sums of matrices that tasks return by row (i, v); the row after the last is the vector."""
     rows = (
         parts.select("i", array_to_vector("v").alias("v"))
         .groupBy("i")
@@ -105,6 +111,31 @@ def weighted_sums(df: DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, np
     return np.stack([found.get(i, zero) for i in range(size)]), found.get(size, zero)
 
 
+def _group_sums(names: list[str], per_group: bool):
+    """The sums of :func:`pair_normal` over whole groups, whose rows come in the order of group and gain."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        gram, shift = np.zeros((len(names), len(names))), np.zeros(len(names))
+        for frame in whole_groups(batches, "grp"):
+            x, group, gain = frame[names].to_numpy(float), frame["grp"].to_numpy(), frame["g"].to_numpy()
+            new_group = np.append(True, group[1:] != group[:-1])
+            new_level = new_group | np.append(True, gain[1:] != gain[:-1])
+            first, at = np.flatnonzero(new_group), np.flatnonzero(new_level)
+            sizes, counts = np.diff(np.append(first, len(x))), np.diff(np.append(at, len(x)))
+            owner = np.cumsum(new_group)[at] - 1
+            lower = at - first[owner]
+            pairs = np.bincount(owner, counts * lower.astype(float), minlength=len(first))
+            omega = np.where(pairs > 0, 1.0 / np.maximum(pairs, 1.0) if per_group else 1.0, 0.0)
+            weight, balance = omega[owner] * (sizes[owner] - counts), omega[owner] * (2.0 * lower + counts - sizes[owner])
+            by_level, by_group = np.add.reduceat(x, at), np.add.reduceat(x, first)
+            gram += x.T @ (x * np.repeat(weight, counts)[:, None])
+            gram += by_level.T @ (by_level * omega[owner][:, None]) - by_group.T @ (by_group * omega[:, None])
+            shift += balance @ by_level
+        yield pd.DataFrame({"i": range(len(names) + 1), "v": [*gram, shift]})
+
+    return run
+
+
 def pair_levels(df: DataFrame, group: str, gain: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """(group, gain, n, lower, higher, rows): sizes of a level and of the others.
 
@@ -136,27 +167,26 @@ def pair_differences(df: DataFrame, group: str, gain: str, columns: Sequence[str
     )
 
 
-def fit_pairwise(
-    df: DataFrame,
-    group: str,
-    gain: str,
-    columns: Sequence[str],
-    penalty: float = 1e-3,
-    per_group: bool = True,
-    hot_rows: int | None = HOT_ROWS,
-) -> LinearRanker:
-    """Least squares on all in-group pairs; each group counts once with ``per_group``.
+def pair_normal(
+    df: DataFrame, group: str, gain: str, columns: Sequence[str], per_group: bool = True, hot_rows: int | None = HOT_ROWS
+) -> tuple[LinearRanker, np.ndarray, np.ndarray]:
+    """A standardiser, and the weighted sums of (x_i - x_j)(x_i - x_j)' and of x_i - x_j over all in-group pairs.
 
     Over the pairs of a group, the sum of (x_i - x_j)(x_i - x_j)' is that of
     x x' over its rows, weighted by the rows of other gains, less the outer
-    product of the group's sum, plus those of the sums per gain. All three are
-    rows with a weight, added up in one pass.
+    product of the group's sum, plus those of the sums per gain. Without a group above
+    ``hot_rows`` rows one shuffle by group serves all of them. Else all three are
+    rows with a weight, added up in one pass. Rows without a group or gain are left out.
     """
     ranker = standardiser(df, columns)
     names = [f"x{i}" for i in range(len(ranker.columns))]
     rows = df.select(
         col(group).alias("grp"), col(gain).alias("g"), *[x.alias(n) for n, x in zip(names, ranker.standard())]
     )
+    rows = rows.filter("grp is not null and g is not null")
+    if hot_rows is None or not has_hot_group(rows, ["grp"], hot_rows):
+        parts = rows.repartition("grp").sortWithinPartitions("grp", "g").mapInPandas(_group_sums(names, per_group), "i int, v array<double>")
+        return ranker, *_added(parts, len(names))
     levels = pair_levels(rows.select("grp", "g"), "grp", "g", hot_rows)
     pairs = F.sum(F.col("n") * F.col("lower"))
     weight = safe_div(F.lit(1.0), F.col("pairs")) if per_group else F.lit(1.0)
@@ -179,9 +209,22 @@ def fit_pairwise(
         .unionByName(by_level.select(*names, F.col("omega").alias("w"), nothing))
         .unionByName(by_group.select(*names, (-F.col("omega")).alias("w"), nothing))
     )
-    normal, target = weighted_sums(parts, names)
-    ridge = penalty * max(np.trace(normal) / len(names), 1e-12)
-    weights = np.linalg.solve(normal + ridge * np.eye(len(names)), target)
+    return ranker, *weighted_sums(parts, names)
+
+
+def fit_pairwise(
+    df: DataFrame,
+    group: str,
+    gain: str,
+    columns: Sequence[str],
+    penalty: float = 1e-3,
+    per_group: bool = True,
+    hot_rows: int | None = HOT_ROWS,
+) -> LinearRanker:
+    """Least squares on all in-group pairs; each group counts once with ``per_group``."""
+    ranker, normal, target = pair_normal(df, group, gain, columns, per_group, hot_rows)
+    ridge = penalty * max(np.trace(normal) / len(target), 1e-12)
+    weights = np.linalg.solve(normal + ridge * np.eye(len(target)), target)
     return replace(ranker, weights=tuple(float(w) for w in weights))
 
 

@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from ..models import assembly, cocluster_search, ensembles, evaluate, factor_search, factors, linear, trees
+from ..models import assembly, cocluster_search, ensembles, evaluate, factor_search, factors, linear, margin, trees
 from ..operators.splits import by_modulo
 from ..session import written
 from .registry import GAIN_SQL, LINE_TAIL, LINE_TAIL_SQL, graded_lines, query
@@ -122,14 +122,46 @@ def _mean_attribution(spark, folder):
     return evaluate.mean_attribution(ranker.attributions(rows), FEATURES)
 
 
+# Mean, deviation and weight of each of FEATURES in a given linear score.
+_GIVEN = ((25.0, 15.0, 0.3), (38000.0, 23000.0, -0.4), (0.05, 0.03, 0.2), (0.04, 0.025, 0.1), (4.0, 2.0, -0.25))
+_UNITS = [f"(({c} - {m}) / CAST({d} AS DOUBLE))" for c, (m, d, _) in zip(FEATURES, _GIVEN)]
+
+
+@query(
+    "pair_gradient",
+    f"""WITH b AS (SELECT l_orderkey AS o, {GAIN_SQL} AS g, {", ".join(f"{u} AS x{i}" for i, u in enumerate(_UNITS))} FROM lineitem),
+      s AS (SELECT *, {" + ".join(f"CAST({w} AS DOUBLE) * x{i}" for i, (_, _, w) in enumerate(_GIVEN))} AS s FROM b),
+      p AS (SELECT greatest(0, 1 - (a.s - b.s)) AS m, {", ".join(f"b.x{i} - a.x{i} AS d{i}" for i in range(len(FEATURES)))}
+        FROM s a JOIN s b ON a.o = b.o AND a.g > b.g)
+      {" UNION ALL ".join(f"SELECT '{c}' AS feature, round(sum(m * d{i}) / count(*), 6) AS gradient FROM p" for i, c in enumerate(FEATURES))}""",
+)
+def _pair_gradient(spark, folder):
+    """Gradient of the margin loss by given weights, per pair. The SQL forms every pair, the Spark plan none."""
+    rows = graded_lines(spark, folder)
+    means, scales, weights = zip(*_GIVEN)
+    ranker = linear.LinearRanker(tuple(FEATURES), means, scales, weights)
+    pairs = linear.pair_levels(rows, GROUP, GAIN).agg(F.sum(F.col("n") * F.col("lower"))).first()[0]
+    gradient = margin.pairs_of(rows, GROUP, GAIN, ranker, per_group=False).gradient(weights) / float(pairs)
+    return evaluate.table(rows, list(zip(FEATURES, gradient.tolist())), ["feature", "gradient"])
+
+
 @query("pairwise_rank")
 def _pairwise_rank(spark, folder):
-    """Scores of test rows by the pairwise ranker."""
+    """Scores of test rows by least squares on all pairs."""
     rows = _rows(spark, folder)
     ranker = linear.fit_pairwise(rows.filter("split = 'train'"), GROUP, GAIN, FEATURES)
     return ranker.transform(rows.filter("split = 'test'")).select(GROUP, "l_partkey", GAIN, "prediction")
 
 
+@query("margin_rank")
+def _margin_rank(spark, folder):
+    """Scores of test rows by the margin ranker, stopped by NDCG@5 of validation rows."""
+    rows = _rows(spark, folder)
+    train, val = rows.filter("split = 'train'"), rows.filter("split = 'val'")
+    ranker = margin.fit_margin(train, val, GROUP, GAIN, FEATURES, tiebreak=[ROW])
+    return ranker.transform(rows.filter("split = 'test'")).select(GROUP, "l_partkey", GAIN, "prediction")
+
+
 @query("listwise_rank")
 def _listwise_rank(spark, folder):
     rows = _rows(spark, folder)

@@ -42,6 +42,12 @@ def test_pairwise_equals_all_pairs(planted, per_group):
     assert np.array(ranker.weights) == pytest.approx(brute_force_pairs(pdf, per_group, 1e-3, ranker), rel=1e-6)
 
 
+def test_pairwise_of_hot_groups(planted):
+    cold = linear.fit_pairwise(planted, "grp", "gain", ["a", "b"])
+    hot = linear.fit_pairwise(planted, "grp", "gain", ["a", "b"], hot_rows=50)
+    assert hot.weights == pytest.approx(cold.weights, rel=1e-9)
+
+
 def test_pairwise_finds_the_order(planted):
     ranker = linear.fit_pairwise(planted, "grp", "gain", ["a", "b"])
     assert ranker.weights[0] > 10 * abs(ranker.weights[1])
