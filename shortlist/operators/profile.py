@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import HOT_ROWS, col, exact_quantiles, positions
+from ..session import written
+from .ordering import HOT_ROWS, col, exact_quantiles, positions, running_total
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 PAIRS_PER_PASS = 1500
+# A sketch errs by at most one in ACCURACY of the rows; a bracket reaches BRACKET times as far to each side.
+ACCURACY = 1000
+BRACKET = 1.5
 
 
 def long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -20,19 +27,99 @@ def long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return numeric.unpivot([], list(columns), "column", "value")
 
 
+def _entries(columns: Sequence[str], values: Sequence[dict]) -> Column:
+    """A few driver-side numbers per column as an array of structs."""
+    return F.array(
+        *[
+            F.struct(F.lit(c).alias("column"), *[F.lit(v).cast(kind).alias(k) for k, (v, kind) in one.items()])
+            for c, one in zip(columns, values)
+        ]
+    )
+
+
+def _inside(df: DataFrame, numbers: Sequence[Column], brackets: dict[tuple[int, int], tuple[float, float]]) -> DataFrame:
+    """(column, share, value, c): per task the values in each bracket with their counts, and the count below it under a null value."""
+    used = sorted({i for i, _ in brackets})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        below = dict.fromkeys(brackets, 0)
+        for batch in batches:
+            values = {i: batch[f"v{i}"].to_numpy(float) for i in used}
+            for (i, q), (lo, hi) in brackets.items():
+                below[i, q] += int((values[i] < lo).sum())
+                held, counts = np.unique(values[i][(values[i] >= lo) & (values[i] <= hi)], return_counts=True)
+                yield pd.DataFrame({"column": i, "share": q, "value": held, "c": counts})
+        yield pd.DataFrame([(i, q, None, c) for (i, q), c in below.items()], columns=["column", "share", "value", "c"])
+
+    narrow = df.select(*[numbers[i].alias(f"v{i}") for i in used])
+    return narrow.mapInPandas(run, "column int, share int, value double, c bigint")
+
+
 def summary(df: DataFrame, columns: Sequence[str], hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quartiles per column."""
+    """Count, mean, sample deviation, extremes and exact quartiles per column.
+
+    The first scan gives the moments and, from sketches, two values around each
+    quartile; the second how many values lie below, and those between, which are few. If the quartile is proven
+    to lie between, its place among them decides; else all values of that column are counted one by one.
+    """
     columns = list(columns)
     stats = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    numbers = [col(c).cast("double") for c in columns]
+    shares = list(QUARTILES.values())
+    around = [min(1.0, max(0.0, s + side * BRACKET / ACCURACY)) for s in shares for side in (-1, 1)]
     row = df.agg(
-        *[f(col(c).cast("double")).alias(f"{s}{i}") for i, c in enumerate(columns) for s, f in stats.items()]
-    )
-    entries = [
-        F.struct(F.lit(c).alias("column"), *[F.col(f"{s}{i}").alias(s) for s in stats]) for i, c in enumerate(columns)
-    ]
-    moments = row.select(F.inline(F.array(*entries)))
-    quartiles = exact_quantiles(long_form(df, columns), ["column"], "value", QUARTILES, hot_rows)
-    return moments.join(quartiles, ["column"], "left")
+        *[f(x).alias(f"{s}{i}") for i, x in enumerate(numbers) for s, f in stats.items()],
+        *[F.percentile_approx(x, around, ACCURACY).alias(f"a{i}") for i, x in enumerate(numbers)],
+    ).first()
+    brackets = {
+        (i, q): (row[f"a{i}"][2 * q], row[f"a{i}"][2 * q + 1]) for i in range(len(columns)) if row[f"n{i}"] for q in range(len(shares))
+    }
+    values = [{s: (row[f"{s}{i}"], "bigint" if s == "n" else "double") for s in stats} for i in range(len(columns))]
+    moments = df.sparkSession.range(1, numPartitions=1).select(F.inline(_entries(columns, values)))
+    if not brackets:
+        return moments.select("*", *[F.lit(None).cast("double").alias(q) for q in QUARTILES])
+    found = written(_inside(df, numbers, brackets))
+    below = F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("c"))), F.lit(0))
+    inside = F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("c"))), F.lit(0))
+    counts = {
+        (r["column"], r["share"]): (r["below"], r["inside"])
+        for r in found.groupBy("column", "share").agg(below.alias("below"), inside.alias("inside")).collect()
+    }
+
+    def proven(i: int, q: int) -> bool:
+        place, (before, count) = shares[q] * (row[f"n{i}"] - 1), counts[i, q]
+        return before <= int(place) and -(-place // 1) < before + count
+
+    held = [i for i in range(len(columns)) if row[f"n{i}"] and all(proven(i, q) for q in range(len(shares)))]
+    parts = []
+    if held:
+        each = found.filter(F.col("value").isNotNull() & F.col("column").isin(held))
+        each = each.groupBy("column", "share", "value").agg(F.sum("c").alias("_c"))
+        placed = running_total(each, ["column", "share"], ["value"], "_c", "_start", hot_rows)
+        known = F.lit(None).cast("struct<start:bigint,place:double>")
+        for i in held:
+            for q, share in enumerate(shares):
+                here = F.struct(F.lit(counts[i, q][0]).cast("bigint").alias("start"), F.lit(share * (row[f"n{i}"] - 1)).alias("place"))
+                known = F.when((F.col("column") == i) & (F.col("share") == q), here).otherwise(known)
+        ranked = placed.withColumn("_k", known).withColumn("_from", F.col("_k.start") + F.col("_start"))
+        picks = []
+        for q, name in enumerate(QUARTILES):
+            place = F.col("_k.place")
+
+            def at(where: Column, q: int = q) -> Column:
+                here = (F.col("share") == q) & (F.col("_from") <= where) & (where < F.col("_from") + F.col("_c"))
+                return F.max(F.when(here, F.col("value")))
+
+            low, high = at(F.floor(place)), at(F.ceil(place))
+            part = F.max(F.when(F.col("share") == q, place - F.floor(place)))
+            picks.append((low + (high - low) * part).alias(name))
+        name = F.get(F.array(*map(F.lit, columns)), F.col("column"))
+        picked = ranked.groupBy("column").agg(*picks)
+        parts.append(picked.select(name.alias("column"), *QUARTILES))
+    rest = [c for i, c in enumerate(columns) if row[f"n{i}"] and i not in held]
+    if rest:
+        parts.append(exact_quantiles(long_form(df, rest), ["column"], "value", QUARTILES, hot_rows))
+    return moments.join(functools.reduce(DataFrame.unionByName, parts), ["column"], "left")
 
 
 def _bin(x: Column, lo: Column, hi: Column, bins: int) -> Column:
