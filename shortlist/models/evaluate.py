@@ -6,11 +6,17 @@ import math
 import random
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.metrics import mean_ndcg
 from ..operators.ordering import HOT_ROWS, col, positions
+from ..session import written
+
+# A prime whose square times two fits a long.
+SHUFFLE_PRIME = 1_048_573
+SHUFFLE_ROUNDS = 16
+NUMBER = "_number"
 
 Score = Callable[[DataFrame], DataFrame]  # adds "prediction"
 
@@ -67,32 +73,79 @@ def refit(df: DataFrame, fit: Callable[[DataFrame], Score], group: str, gain: st
     return table(df, found, ["split", "ndcg"])
 
 
-def permuted(df: DataFrame, column: str, row: str, seed: int, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Rows with one column shuffled over the whole table.
+def shuffle_rounds(seed: int, rounds: int = SHUFFLE_ROUNDS) -> list[tuple[int, int, int, int]]:
+    """The constants of each round of a shuffle: a mirror and three multipliers below SHUFFLE_PRIME."""
+    rng = random.Random(seed)
+    return [(rng.randrange(1 << 40), *(rng.randrange(1, SHUFFLE_PRIME) for _ in range(3))) for _ in range(rounds)]
+
+
+def shuffled_place(number: Column, size: int, rounds: Column) -> Column:
+    """Where row ``number`` of ``size`` goes: a permutation of 0 .. size - 1 in plain integer arithmetic.
 
-    Row numbers are put in two hash orders; the value at a place of one order
-    goes to the row at the same place of the other.
+    Each round mirrors a number at a place that depends on the seed, and keeps the mirror image or the number by a bit
+    that depends on the larger of the two, so that both move or none (the swap-or-not shuffle of
+    Hoang, Morris and Rogaway, 2012). Every engine computes the same, and no row is sorted.
     """
-    places = positions(df.select(col(row), F.xxhash64(col(row), F.lit(seed)).alias("_h")), [], ["_h", row], "_p", hot_rows)
-    values = df.select(col(column).alias("_v"), col(row).alias("_r"), F.xxhash64(col(row), F.lit(seed + 1)).alias("_h"))
-    taken = positions(values, [], ["_h", "_r"], "_q", hot_rows)
-    swap = places.join(taken, F.col("_p") == F.col("_q")).select(col(row), "_v")
-    return df.join(swap, [row]).withColumn(column, F.col("_v")).drop("_v")
+    n, prime = F.lit(size).cast("bigint"), F.lit(SHUFFLE_PRIME).cast("bigint")
+
+    def step(x: Column, r: Column) -> Column:
+        mirrored = F.pmod(F.pmod(r[0], n) - x, n)
+        larger = F.greatest(x, mirrored)
+        mixed = (larger % prime) * r[1] + (F.floor(larger / prime) % prime) * r[2] + r[3]
+        return F.when(mixed % prime % 2 == 1, mirrored).otherwise(x)
+
+    return F.aggregate(rounds, number.cast("bigint"), step)
+
+
+def _numbered(df: DataFrame, row: str, hot_rows: int | None) -> tuple[DataFrame, int]:
+    """Rows with a dense number in the order of ``row``, written once, and how many there are."""
+    numbered = written(positions(df, [], [row], NUMBER, hot_rows))
+    return numbered, numbered.count()
 
 
-def permutation_importance(df: DataFrame, score: Score, columns: Sequence[str], row: str, group: str, gain: str, repeats: int = 1, seed: int = 0, k: int = 5) -> DataFrame:
+def _rounds(seed: int) -> Column:
+    return F.array(*[F.array(*[F.lit(v).cast("bigint") for v in r]) for r in shuffle_rounds(seed)])
+
+
+def permuted(df: DataFrame, column: str, row: str, seed: int, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Rows with one column shuffled over the whole table; the order of ``row`` numbers the rows."""
+    numbered, size = _numbered(df, row, hot_rows)
+    moved = numbered.select(shuffled_place(F.col(NUMBER), size, _rounds(seed)).alias(NUMBER), col(column).alias("_v"))
+    return numbered.join(moved, [NUMBER]).withColumn(column, F.col("_v")).drop("_v", NUMBER)
+
+
+def permutation_importance(
+    df: DataFrame, score: Score, columns: Sequence[str], row: str, group: str, gain: str, repeats: int = 1, seed: int = 0, k: int = 5,
+    tiebreak: Sequence[str] = (), on_short: str = "filter", hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
     """(feature, score, std): metric with the column shuffled less the metric without.
 
-    Negative where shuffling hurts. ``row`` is a unique row number of a written
-    table. Mean and population deviation over the repeats.
+    Negative where shuffling hurts. ``row`` is unique. Mean and population deviation over the repeats. Shuffle r of column c
+    has the seed ``seed`` + c * repeats + r. All shuffles are made at once: a row sends each of its values to the row that
+    gets it in each repeat, one exchange by number brings them together, and one pass over the
+    variants of all rows gives all metrics.
     """
-    base = ndcg_of(score(df), group, gain, k)
+    numbered, size = _numbered(df, row, hot_rows)
+    base = ndcg_of(score(numbered), group, gain, k, on_short, tiebreak)
+    slots = [(c, r) for c in columns for r in range(repeats)]
+    sent = [
+        F.struct(
+            shuffled_place(F.col(NUMBER), size, _rounds(seed + s)).alias("to"),
+            F.lit(s).alias("slot"),
+            col(c).cast("double").alias("value"),
+        )
+        for s, (c, _) in enumerate(slots)
+    ]
+    moved = numbered.select(F.inline(F.array(*sent)))
+    variants = numbered.join(moved, F.col(NUMBER) == F.col("to"))
+    for i, c in enumerate(columns):
+        mine = F.col("slot").between(i * repeats, (i + 1) * repeats - 1)
+        variants = variants.withColumn(c, F.when(mine, F.col("value")).otherwise(col(c)))
+    found = mean_ndcg(score(variants), group, "prediction", gain, k, tiebreak, on_short, by="slot", hot_rows=hot_rows)
+    metric = {r["slot"]: float(r["mean_ndcg"] or 0.0) for r in found.collect()}
     out = []
-    for n, c in enumerate(columns):
-        changes = [
-            ndcg_of(score(permuted(df, c, row, seed + 2 * (n * repeats + r))), group, gain, k) - base
-            for r in range(repeats)
-        ]
+    for i, c in enumerate(columns):
+        changes = [metric.get(i * repeats + r, 0.0) - base for r in range(repeats)]
         mean = sum(changes) / repeats
         out.append((c, mean, math.sqrt(sum((x - mean) ** 2 for x in changes) / repeats)))
     return table(df, sorted(out, key=lambda r: r[1]), ["feature", "score", "std"])
@@ -105,14 +158,6 @@ def drop_importance(df: DataFrame, test: DataFrame, fit: Callable[[DataFrame, Se
     return table(df, sorted(out, key=lambda r: -r[1]), ["feature", "score"])
 
 
-def importance(method: str, **jobs: Callable[[], DataFrame]) -> DataFrame:
-    """Run the importance job of a method by name."""
-    methods = ("Permutation", "LossFunctionChange", "PredictionValuesChange", "Attribution")
-    if method not in methods or method not in jobs:
-        raise ValueError(f"method is one of {methods} and needs a job")
-    return jobs[method]()
-
-
 def mean_attribution(df: DataFrame, names: Sequence[str], attribution: str = "attribution") -> DataFrame:
     """(feature, attribution): mean absolute attribution per feature."""
     long = df.select(F.posexplode(col(attribution)).alias("place", "value"))

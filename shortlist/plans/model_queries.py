@@ -9,6 +9,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ..models import assembly, cocluster_search, ensembles, evaluate, factor_search, factors, linear, margin, trees
+from ..operators.ordering import positions
 from ..operators.splits import by_modulo
 from ..session import written
 from .registry import GAIN_SQL, LINE_TAIL, LINE_TAIL_SQL, graded_lines, query
@@ -352,12 +353,60 @@ def _refit_scores(spark, folder):
     return evaluate.refit(rows, lambda part: linear.fit_pairwise(part, GROUP, GAIN, FEATURES).transform, GROUP, GAIN)
 
 
-@query("permutation_importance")
+_REPEATS, _SHUFFLE_SEED = 3, 11
+
+
+def _permutation_sql():
+    """All shuffles by the same arithmetic, a step per round, and the metric of every variant."""
+    slots = [(i, r) for i in range(len(FEATURES)) for r in range(_REPEATS)]
+    rounds = [evaluate.shuffle_rounds(_SHUFFLE_SEED + s) for s in range(len(slots))]
+    count, prime = len(rounds[0]), evaluate.SHUFFLE_PRIME
+    names = ", ".join(f"a{k}, b{k}, c{k}, d{k}" for k in range(count))
+    rows = ", ".join(
+        f"({s}, {i}, " + ", ".join(str(v) for one in rounds[s] for v in one) + ")" for s, (i, _) in enumerate(slots)
+    )
+    steps, last = [], "e0"
+    for k in range(count):
+        steps.append(
+            f"""m{k} AS (SELECT *, ((a{k} % n) - p + n) % n AS q FROM {last}),
+      e{k + 1} AS (SELECT * EXCLUDE (q) REPLACE (CASE WHEN (((greatest(p, q) % {prime}) * b{k} + ((greatest(p, q) // {prime}) % {prime}) * c{k} + d{k})
+        % {prime}) % 2 = 1 THEN q ELSE p END AS p) FROM m{k})"""
+        )
+        last = f"e{k + 1}"
+    unit = "(({x}) - {m}) / CAST({d} AS DOUBLE) * CAST({w} AS DOUBLE)"
+
+    def total(value):
+        return " + ".join(unit.format(x=value(i, c), m=m, d=d, w=w) for i, (c, (m, d, w)) in enumerate(zip(FEATURES, _GIVEN)))
+
+    plain = total(lambda i, c: f"t.{c}")
+    changed = total(lambda i, c: f"CASE WHEN f = {i} THEN value ELSE t.{c} END")
+    value = "CASE f " + " ".join(f"WHEN {i} THEN CAST({c} AS DOUBLE)" for i, c in enumerate(FEATURES)) + " END"
+    return f"""WITH t AS MATERIALIZED (SELECT *, {GAIN_SQL} AS g, row_number() OVER (ORDER BY l_orderkey, {LINE_TAIL_SQL}) - 1 AS i,
+        count(*) OVER () AS n, count(*) OVER (PARTITION BY l_orderkey) AS size FROM lineitem),
+      k(slot, f, {names}) AS (VALUES {rows}),
+      e0 AS (SELECT k.*, t.i AS p, t.i AS i, t.n AS n FROM t CROSS JOIN k),
+      {", ".join(steps)},
+      v AS (SELECT slot, f, p, {value} AS value FROM {last} JOIN t USING (i)),
+      s AS (SELECT -1 AS slot, -1 AS f, t.l_orderkey, t.g, t.i, {plain} AS s FROM t WHERE size >= 5
+        UNION ALL SELECT slot, f, t.l_orderkey, t.g, t.i, {changed} AS s FROM v JOIN t ON t.i = v.p WHERE size >= 5),
+      r AS (SELECT slot, f, l_orderkey, g, row_number() OVER (PARTITION BY slot, l_orderkey ORDER BY s DESC, i) AS rk,
+        row_number() OVER (PARTITION BY slot, l_orderkey ORDER BY g DESC) AS ik FROM s),
+      a AS (SELECT slot, f, l_orderkey, sum(CASE WHEN rk <= 5 THEN g / log2(rk + 1) ELSE 0 END) AS d,
+        sum(CASE WHEN ik <= 5 THEN g / log2(ik + 1) ELSE 0 END) AS b FROM r GROUP BY 1, 2, 3),
+      m AS (SELECT slot, f, avg(CASE WHEN b = 0 THEN 0 ELSE d / nullif(b, 0) END) AS ndcg FROM a GROUP BY 1, 2),
+      c AS (SELECT f, ndcg - (SELECT ndcg FROM m WHERE slot = -1) AS change FROM m WHERE slot >= 0)
+      SELECT CASE f {" ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(FEATURES))} END AS feature,
+        round(avg(change), 6) AS score, round(stddev_pop(change), 6) AS std FROM c GROUP BY f"""
+
+
+@query("permutation_importance", _permutation_sql())
 def _permutation_importance(spark, folder):
-    rows = _rows(spark, folder)
-    ranker = linear.fit_pairwise(rows.filter("split = 'train'"), GROUP, GAIN, FEATURES)
-    val = rows.filter("split = 'val'")
-    return evaluate.permutation_importance(val, ranker.transform, FEATURES, ROW, GROUP, GAIN, repeats=3)
+    """Every feature of a given linear score shuffled three times over the whole table."""
+    rows = positions(graded_lines(spark, folder), [], [GROUP, *LINE_TAIL], ROW).select(ROW, GROUP, GAIN, *FEATURES)
+    ranker = linear.LinearRanker(tuple(FEATURES), *zip(*_GIVEN))
+    return evaluate.permutation_importance(
+        rows, ranker.transform, FEATURES, ROW, GROUP, GAIN, repeats=_REPEATS, seed=_SHUFFLE_SEED, tiebreak=[ROW]
+    )
 
 
 @query("native_importance")

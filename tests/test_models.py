@@ -181,6 +181,32 @@ def test_random_search_is_seeded(planted):
     assert first == evaluate.random_search(fit, planted, space, "grp", "gain", calls=2)
 
 
-def test_importance_method():
-    with pytest.raises(ValueError):
-        evaluate.importance("Unknown")
+def place(x, size, rounds):
+    for mirror, a, b, c in rounds:
+        other = (mirror - x) % size
+        larger = max(x, other)
+        p = evaluate.SHUFFLE_PRIME
+        x = other if (larger % p * a + larger // p % p * b + c) % p % 2 else x
+    return x
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 1000])
+def test_shuffled_places_are_a_permutation(spark, size):
+    frame = spark.range(size).select("id", evaluate.shuffled_place(F.col("id"), size, evaluate._rounds(3)).alias("to"))
+    found = {r["id"]: r["to"] for r in frame.collect()}
+    assert sorted(found.values()) == list(range(size))
+    assert found == {i: place(i, size, evaluate.shuffle_rounds(3)) for i in range(size)}
+    if size == 1000:
+        assert abs(np.corrcoef(list(found), list(found.values()))[0, 1]) < 0.15 and sum(i == t for i, t in found.items()) < 10
+
+
+def test_permutation_importance_equals_single_shuffles(planted):
+    ranker = linear.fit_pairwise(planted, "grp", "gain", ["a", "b"])
+    found = {r["feature"]: r for r in evaluate.permutation_importance(planted, ranker.transform, ["a", "b"], "row", "grp", "gain", 2, 5, hot_rows=100).collect()}
+    base = evaluate.ndcg_of(ranker.transform(planted), "grp", "gain")
+    for i, c in enumerate(["a", "b"]):
+        changes = [
+            evaluate.ndcg_of(ranker.transform(evaluate.permuted(planted, c, "row", 5 + 2 * i + r)), "grp", "gain") - base for r in range(2)
+        ]
+        assert found[c]["score"] == pytest.approx(np.mean(changes), abs=1e-12)
+        assert found[c]["std"] == pytest.approx(np.std(changes), abs=1e-12)
