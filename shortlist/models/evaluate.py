@@ -64,12 +64,14 @@ def random_search(fit: Callable[..., Score], val: DataFrame, space: dict, group:
     return sorted(out, key=lambda r: -r["ndcg"])
 
 
-def refit(df: DataFrame, fit: Callable[[DataFrame], Score], group: str, gain: str, split: str = "split", k: int = 5) -> DataFrame:
+def refit(
+    df: DataFrame, fit: Callable[[DataFrame], Score], group: str, gain: str, split: str = "split", k: int = 5, tiebreak: Sequence[str] = ()
+) -> DataFrame:
     """Fit on train and validation rows together; NDCG on them and on test rows."""
     both = df.filter(col(split).isin("train", "val"))
     score = fit(both)
     test = df.filter(col(split) == "test")
-    found = [("train_val", ndcg_of(score(both), group, gain, k)), ("test", ndcg_of(score(test), group, gain, k))]
+    found = [(name, ndcg_of(score(rows), group, gain, k, tiebreak=tiebreak)) for name, rows in (("train_val", both), ("test", test))]
     return table(df, found, ["split", "ndcg"])
 
 
@@ -151,10 +153,14 @@ def permutation_importance(
     return table(df, sorted(out, key=lambda r: r[1]), ["feature", "score", "std"])
 
 
-def drop_importance(df: DataFrame, test: DataFrame, fit: Callable[[DataFrame, Sequence[str]], Score], columns: Sequence[str], group: str, gain: str, k: int = 5) -> DataFrame:
+def drop_importance(
+    df: DataFrame, test: DataFrame, fit: Callable[[DataFrame, Sequence[str]], Score], columns: Sequence[str], group: str, gain: str,
+    k: int = 5, tiebreak: Sequence[str] = (),
+) -> DataFrame:
     """(feature, score): metric with all columns less the metric of a refit without one."""
-    base = ndcg_of(fit(df, list(columns))(test), group, gain, k)
-    out = [(c, base - ndcg_of(fit(df, [x for x in columns if x != c])(test), group, gain, k)) for c in columns]
+    base = ndcg_of(fit(df, list(columns))(test), group, gain, k, tiebreak=tiebreak)
+    without = {c: fit(df, [x for x in columns if x != c])(test) for c in columns}
+    out = [(c, base - ndcg_of(scored, group, gain, k, tiebreak=tiebreak)) for c, scored in without.items()]
     return table(df, sorted(out, key=lambda r: -r[1]), ["feature", "score"])
 
 

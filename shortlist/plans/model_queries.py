@@ -146,6 +146,144 @@ def _pair_gradient(spark, folder):
     return evaluate.table(rows, list(zip(FEATURES, gradient.tolist())), ["feature", "gradient"])
 
 
+_NUMBERED_SQL = f"""b AS (SELECT *, {GAIN_SQL} AS g, row_number() OVER (ORDER BY l_orderkey, {LINE_TAIL_SQL}) AS i,
+        CASE l_orderkey % 10 WHEN 5 THEN 'test' WHEN 1 THEN 'val' ELSE 'train' END AS split FROM lineitem)"""
+
+
+def _metric_sql(source, keys, score):
+    """Mean NDCG@5 of groups of at least five rows of ``source`` (l_orderkey, g, i, keys) by ``score``, for each value of the keys."""
+    part = ", ".join([*keys, "l_orderkey"])
+    key = ", ".join(keys)
+    return f"""SELECT {key}, avg(CASE WHEN ideal = 0 THEN 0 ELSE d / nullif(ideal, 0) END) AS ndcg FROM (
+      SELECT {part}, sum(CASE WHEN rk <= 5 THEN g / log2(rk + 1) ELSE 0 END) AS d,
+        sum(CASE WHEN ik <= 5 THEN g / log2(ik + 1) ELSE 0 END) AS ideal FROM (
+        SELECT *, row_number() OVER (PARTITION BY {part} ORDER BY {score} DESC, i) AS rk,
+          row_number() OVER (PARTITION BY {part} ORDER BY g DESC) AS ik, count(*) OVER (PARTITION BY {part}) AS rows FROM {source}) AS r
+      WHERE rows >= 5 GROUP BY {part}) AS q GROUP BY {key}"""
+
+
+def _numbered_rows(spark, folder):
+    """Graded rows with split and a number that SQL gives them too."""
+    rows = by_modulo(graded_lines(spark, folder), GROUP)
+    return written(positions(rows, [], [GROUP, *LINE_TAIL], ROW).select(ROW, GROUP, GAIN, "split", *FEATURES))
+
+
+@query(
+    "pairwise_normal",
+    f"""WITH m AS (SELECT {", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS d{i}" for i, c in enumerate(FEATURES))} FROM lineitem),
+      b AS (SELECT l_orderkey AS o, {GAIN_SQL} AS g, {", ".join(f"({c} - m{i}) / d{i} AS x{i}" for i, c in enumerate(FEATURES))} FROM lineitem, m),
+      p AS (SELECT {", ".join(f"a.x{i} - b.x{i} AS x{i}" for i in range(len(FEATURES)))}, 1 / CAST(count(*) OVER (PARTITION BY a.o) AS DOUBLE) AS w,
+        a.o AS o FROM b a JOIN b ON a.o = b.o AND a.g > b.g),
+      n AS (SELECT CAST(count(DISTINCT o) AS DOUBLE) AS n FROM p)
+      """
+    + " UNION ALL ".join(
+        f"SELECT {i} AS place, {j} AS other, round(sum(w * x{i} * {f'x{j}' if j >= 0 else '1'}) / max(n), 6) AS value FROM p, n"
+        for i in range(len(FEATURES))
+        for j in range(-1, i + 1)
+    ),
+)
+def _pairwise_normal(spark, folder):
+    """Normal equations of the pairwise ranker, per group; other -1 is the right side. The Spark plan forms no pair."""
+    rows = graded_lines(spark, folder)
+    _, normal, target = linear.pair_normal(rows, GROUP, GAIN, FEATURES)
+    groups = linear.pair_levels(rows, GROUP, GAIN).filter("lower > 0").select(GROUP).distinct().count()
+    out = [(i, -1, float(target[i] / groups)) for i in range(len(FEATURES))]
+    out += [(i, j, float(normal[i, j] / groups)) for i in range(len(FEATURES)) for j in range(i + 1)]
+    return evaluate.table(rows, out, ["place", "other", "value"])
+
+
+@query(
+    "listwise_gradient",
+    f"""WITH {_NUMBERED_SQL}, x AS (SELECT l_orderkey AS o, g, i, {", ".join(f"{u} AS x{j}" for j, u in enumerate(_UNITS))} FROM b),
+      s AS (SELECT *, {" + ".join(f"CAST({w} AS DOUBLE) * x{j}" for j, (_, _, w) in enumerate(_GIVEN))} AS s FROM x),
+      r AS (SELECT *, row_number() OVER (PARTITION BY o ORDER BY s DESC, i) AS rk, row_number() OVER (PARTITION BY o ORDER BY g DESC) AS ik FROM s),
+      d AS (SELECT *, CASE WHEN rk <= 5 THEN 1 / log2(rk + 1) ELSE 0 END AS d,
+        sum(CASE WHEN ik <= 5 THEN g / log2(ik + 1) ELSE 0 END) OVER (PARTITION BY o) AS ideal FROM r),
+      p AS (SELECT (a.g - b.g) * abs(a.d - b.d) / a.ideal / (1 + exp(a.s - b.s)) AS w,
+        {", ".join(f"a.x{j} - b.x{j} AS x{j}" for j in range(len(FEATURES)))} FROM d a JOIN d b ON a.o = b.o AND a.g > b.g),
+      n AS (SELECT CAST(count(DISTINCT o) AS DOUBLE) AS n FROM d WHERE ideal > 0)
+      {" UNION ALL ".join(f"SELECT '{c}' AS feature, round(sum(w * x{j}) / max(n), 6) AS gradient FROM p, n" for j, c in enumerate(FEATURES))}""",
+)
+def _listwise_gradient(spark, folder):
+    """One step of the list-wise ranker from a given score."""
+    start = linear.LinearRanker(tuple(FEATURES), *zip(*_GIVEN))
+    rows = graded_lines(spark, folder)
+    moved = linear.fit_listwise(rows, GROUP, GAIN, FEATURES, steps=1, rate=1.0, start=start)
+    steps = [(c, float(b - a)) for c, a, b in zip(FEATURES, start.weights, moved.weights)]
+    return evaluate.table(rows, steps, ["feature", "gradient"])
+
+
+_LINEAR_SQL = " + ".join(f"{u} * CAST({w} AS DOUBLE)" for u, (_, _, w) in zip(_UNITS, _GIVEN))
+
+
+@query(
+    "leaderboard_of_scores",
+    f"""WITH {_NUMBERED_SQL}, s AS (SELECT 'linear' AS model, l_orderkey, g, i, {_LINEAR_SQL} AS s FROM b WHERE split = 'test'
+        UNION ALL SELECT 'dear', l_orderkey, g, i, CAST(l_extendedprice AS DOUBLE) FROM b WHERE split = 'test'
+        UNION ALL SELECT 'cheap', l_orderkey, g, i, -CAST(l_extendedprice AS DOUBLE) FROM b WHERE split = 'test'),
+      m AS ({_metric_sql("s", ["model"], "s")}) SELECT model, round(ndcg, 6) AS ndcg FROM m""",
+)
+def _leaderboard_of_scores(spark, folder):
+    """A given linear score and the price either way round on test rows."""
+    rows = _numbered_rows(spark, folder).filter("split = 'test'")
+    scorers = {
+        "linear": linear.LinearRanker(tuple(FEATURES), *zip(*_GIVEN)).transform,
+        "dear": lambda df: df.withColumn("prediction", F.col("l_extendedprice").cast("double")),
+        "cheap": lambda df: df.withColumn("prediction", -F.col("l_extendedprice").cast("double")),
+    }
+    return evaluate.leaderboard(rows, scorers, GROUP, GAIN, tiebreak=[ROW])
+
+
+_TWO = ["l_extendedprice", "l_tax"]
+
+
+def _fit_sql(name, where):
+    """The least-squares ranker of two features over rows of ``b``, solved by hand: w0 and w1 together, v0 and v1 alone."""
+    a, c = _TWO
+    return f"""z{name} AS (SELECT avg({a}) AS m0, stddev_pop({a}) AS d0, avg({c}) AS m1, stddev_pop({c}) AS d1 FROM b WHERE {where}),
+      x{name} AS (SELECT l_orderkey AS o, g, ({a} - m0) / d0 AS x0, ({c} - m1) / d1 AS x1 FROM b, z{name} WHERE {where}),
+      p{name} AS (SELECT a.x0 - b.x0 AS x0, a.x1 - b.x1 AS x1, 1 / CAST(count(*) OVER (PARTITION BY a.o) AS DOUBLE) AS w
+        FROM x{name} a JOIN x{name} b ON a.o = b.o AND a.g > b.g),
+      n{name} AS (SELECT sum(w * x0 * x0) AS n00, sum(w * x0 * x1) AS n01, sum(w * x1 * x1) AS n11, sum(w * x0) AS t0, sum(w * x1) AS t1 FROM p{name}),
+      r{name} AS (SELECT *, n00 + (n00 + n11) / 2000 AS a00, n11 + (n00 + n11) / 2000 AS a11 FROM n{name}),
+      f{name} AS (SELECT m0, d0, m1, d1, (t0 * a11 - t1 * n01) / (a00 * a11 - n01 * n01) AS w0, (t1 * a00 - t0 * n01) / (a00 * a11 - n01 * n01) AS w1,
+        t0 / (n00 * (1 + 1 / CAST(1000 AS DOUBLE))) AS v0, t1 / (n11 * (1 + 1 / CAST(1000 AS DOUBLE))) AS v1 FROM r{name}, z{name})"""
+
+
+_SCORE_SQL = f"({_TWO[0]} - m0) / d0 * {{w0}} + ({_TWO[1]} - m1) / d1 * {{w1}}"
+
+
+@query(
+    "refit_two_features",
+    f"""WITH {_NUMBERED_SQL}, {_fit_sql("", "split <> 'test'")},
+      s AS (SELECT CASE split WHEN 'test' THEN 'test' ELSE 'train_val' END AS part, l_orderkey, g, i, {_SCORE_SQL.format(w0="w0", w1="w1")} AS s FROM b, f),
+      m AS ({_metric_sql("s", ["part"], "s")}) SELECT part AS split, round(ndcg, 6) AS ndcg FROM m""",
+)
+def _refit_two_features(spark, folder):
+    """The pairwise ranker of two features, fitted on training and validation rows, and its metric there and on test rows."""
+    rows = _numbered_rows(spark, folder)
+    return evaluate.refit(rows, lambda part: linear.fit_pairwise(part, GROUP, GAIN, _TWO).transform, GROUP, GAIN, tiebreak=[ROW])
+
+
+@query(
+    "drop_two_features",
+    f"""WITH {_NUMBERED_SQL}, {_fit_sql("", "split = 'train'")},
+      s AS ({" UNION ALL ".join(f"SELECT '{name}' AS model, l_orderkey, g, i, {_SCORE_SQL.format(w0=a, w1=c)} AS s FROM b, f WHERE split = 'val'"
+                               for name, a, c in (("both", "w0", "w1"), (_TWO[0], "0", "v1"), (_TWO[1], "v0", "0")))}),
+      m AS ({_metric_sql("s", ["model"], "s")})
+      SELECT model AS feature, round((SELECT ndcg FROM m WHERE model = 'both') - ndcg, 6) AS score FROM m WHERE model <> 'both'""",
+)
+def _drop_two_features(spark, folder):
+    """Metric of the pairwise ranker less that of a refit without the feature."""
+    rows = _numbered_rows(spark, folder)
+
+    def fit(part, columns):
+        return linear.fit_pairwise(part, GROUP, GAIN, columns).transform
+
+    train, val = rows.filter("split = 'train'"), rows.filter("split = 'val'")
+    return evaluate.drop_importance(train, val, fit, _TWO, GROUP, GAIN, tiebreak=[ROW])
+
+
 @query("pairwise_rank")
 def _pairwise_rank(spark, folder):
     """Scores of test rows by least squares on all pairs."""
