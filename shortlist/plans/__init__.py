@@ -1,6 +1,6 @@
 """Feature plans and the registered queries."""
 
-from . import group_queries, hotel_queries, model_queries, rank_queries, time_queries
+from . import group_queries, hotel_queries, model_queries, rank_queries, source_queries, time_queries
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "group_queries", "hotel_queries", "model_queries", "rank_queries", "time_queries"]
+__all__ = ["ORACLES", "QUERIES", "group_queries", "hotel_queries", "model_queries", "rank_queries", "source_queries", "time_queries"]
