@@ -105,6 +105,37 @@ def _item_cosine(spark, folder):
     return factors.item_similarity(ratings, [r["item"] for r in most.collect()])
 
 
+@query(
+    "item_neighbours",
+    f"""WITH {_RATINGS_SQL}, p AS (SELECT a.i AS item, b.i AS other, sum(a.r * b.r) / nullif(sqrt(sum(a.r * a.r) * sum(b.r * b.r)), 0) AS s, count(*) AS n
+        FROM t a JOIN t b ON a.u = b.u AND a.i <> b.i GROUP BY 1, 2 HAVING count(*) >= 2),
+      k AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY round(s, 9) DESC, n DESC, other) AS place FROM p WHERE s IS NOT NULL)
+      SELECT item, other, round(s, 6) AS similarity, n AS common, place AS rank FROM k WHERE place <= 10""",
+)
+def _item_neighbours(spark, folder):
+    """The ten nearest neighbours of every item, of those with two common users."""
+    return factors.item_neighbours(_ratings(spark, folder))
+
+
+_KEYS = ("l_partkey", "l_suppkey", "l_returnflag")
+
+
+@query(
+    "category_index",
+    f"""WITH b AS (SELECT * FROM lineitem WHERE l_orderkey % 10 <> 5),
+      {", ".join(f"k{i} AS (SELECT CAST({c} AS VARCHAR) AS v, row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) - 1 AS x FROM b GROUP BY 1)"
+                 for i, c in enumerate(_KEYS))}
+      SELECT l_orderkey, {", ".join(_KEYS)}, count(*) AS n, {", ".join(f"max(coalesce(k{i}.x, (SELECT count(*) FROM k{i}))) AS {c}_index" for i, c in enumerate(_KEYS))}
+      FROM lineitem l {" ".join(f"LEFT JOIN k{i} ON CAST(l.{c} AS VARCHAR) = k{i}.v" for i, c in enumerate(_KEYS))} GROUP BY l_orderkey, {", ".join(_KEYS)}""",
+)
+def _category_index(spark, folder):
+    """Numbers of three categories from a dictionary of the rows outside the test split."""
+    rows = written(by_modulo(graded_lines(spark, folder), GROUP).select(GROUP, *_KEYS, "split"))
+    fitted = assembly.fit_dictionary(rows.filter("split <> 'test'"), _KEYS)
+    coded = fitted.transform(rows)
+    return coded.groupBy(GROUP, *_KEYS).agg(F.count(F.lit(1)).alias("n"), *[F.max(f"{c}_index").alias(f"{c}_index") for c in _KEYS])
+
+
 _WEIGHTS = (0.5, -1.0, 2.0, 0.25, -0.75)
 
 

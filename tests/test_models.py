@@ -102,7 +102,7 @@ def test_permuted_keeps_the_values(planted):
     assert out.join(planted.select("row", F.col("a").alias("old")), ["row"]).filter("a = old").count() < 20
 
 
-def test_trees(planted, tmp_path):
+def test_trees(planted):
     model = assembly.fit_assembly(planted, ["a", "b"], ["split"])
     rows = assembly.assemble(planted, model)
     point = trees.fit_pointwise(rows, "grp", "gain", kind="forest", numTrees=3, maxDepth=3)
@@ -112,7 +112,6 @@ def test_trees(planted, tmp_path):
     scored = trees.score_classes(classes, rows)
     assert set(scored.select("label").distinct().toPandas()["label"]) <= {0, 1, 5}
     assert scored.filter("label = gain").count() > 500
-    assembly.save_model(classes, str(tmp_path / "m"))
 
 
 def test_fill_modes(rows):
@@ -210,3 +209,41 @@ def test_permutation_importance_equals_single_shuffles(planted):
         ]
         assert found[c]["score"] == pytest.approx(np.mean(changes), abs=1e-12)
         assert found[c]["std"] == pytest.approx(np.std(changes), abs=1e-12)
+
+
+@pytest.mark.parametrize("hot_rows", [None, 40])
+def test_dictionary(rows, hot_rows):
+    train = rows("a string, b int", [("x", i % 60) for i in range(100)] + [("y", 1), (None, None), ("z", 1)])
+    fitted = assembly.fit_dictionary(train, ["a", "b"], hot_rows=hot_rows)
+    assert fitted.sizes == {"a": 4, "b": 61}
+    found = fitted.transform(rows("a string, b int", [("x", 1), (None, 99), ("new", 0), ("y", None)]), hot_rows=hot_rows).collect()
+    # Equally common values are in the order of their texts.
+    assert {(r["a"], r["b"]): (r["a_index"], r["b_index"]) for r in found} == {
+        ("x", 1): (0, 0), (None, 99): (1, 61), ("new", 0): (4, 1), ("y", None): (2, 60)
+    }
+    assert assembly.fit_dictionary(train, ["b"], min_count=2).sizes == {"b": 40}
+    vectors = assembly.assemble_large(train.limit(3), ["b"], fitted, {"b": -1.0})
+    assert vectors.columns == ["a", "b", "features"] and vectors.first()["features"].size == 3
+
+
+@pytest.mark.parametrize("support", [1, 2, 3])
+def test_neighbours_equal_all_pairs(rows, support):
+    """User 0 rated everything, and every third item has few other users."""
+    data = [(0, i, float(i % 5 + 1)) for i in range(40)]
+    data += [(u, i, float((u * i) % 5 + 1)) for u in range(1, 25) for i in range(40) if (u * 7 + i * 3) % (9 if i % 3 else 31) == 0]
+    by_item = {}
+    for u, i, r in data:
+        by_item.setdefault(i, {})[u] = r
+    want = {}
+    for i, a in by_item.items():
+        near = []
+        for j, b in by_item.items():
+            common = a.keys() & b.keys()
+            if i != j and len(common) >= support:
+                dot = sum(a[u] * b[u] for u in common)
+                near.append((-round(dot / np.sqrt(sum(a[u] ** 2 for u in common) * sum(b[u] ** 2 for u in common)), 9), -len(common), j))
+        want[i] = sorted(near)[:4]
+    found = {i: [] for i in by_item}
+    for r in factors.item_neighbours(rows("user int, item int, rating double", data), 4, support, hot_rows=15).orderBy("item", "rank").collect():
+        found[r["item"]].append((-round(r["similarity"], 9), -r["common"], r["other"]))
+    assert found == want
