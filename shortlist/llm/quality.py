@@ -4,13 +4,13 @@ Each text has five statistics, transformed to be roughly symmetric: its length
 in words, the length of its words, and symbols, repeated lines and words in
 repeated windows per word. For every language and source the centre and
 covariance are those of the minimum covariance determinant: of the share ``CORE``
-of the rows whose covariance has the smallest determinant. The search starts from
-medians and quartiles and takes concentration steps, each the moments of the
-rows that lie closest by the step before, until the determinants stop
-falling. Rows are rejected whose squared Mahalanobis distance is beyond the chi-square
+of the rows whose covariance has the smallest determinant. The search starts once from
+medians and quartiles and once from the moments of all rows, and takes concentration steps, each the moments of the
+rows that lie closest by the step before, for as long as the determinant falls; the lower end counts. Rows are rejected whose squared Mahalanobis distance is beyond the chi-square
 quantile that leaves out the share ``REJECTED`` of normal rows.
 
-Groups of fewer than ``MIN_ROWS`` rows are estimated together; if all of these are
+Groups of fewer than ``MIN_ROWS`` rows are estimated together, since the moments of so few rows say little: a row of such a
+group is then an outlier among all rows of small groups, not within its own. If all of these are
 fewer, their rows are kept. Scales have a floor, so that a statistic that does not vary
 within a group does not reject every row that differs by a little.
 
@@ -39,7 +39,8 @@ MIN_WORDS = 50
 MAX_REPEATED = 50
 MIN_ROWS = 50
 CORE = 0.75
-STEPS = 8
+# Concentration goes on while the log of the determinant falls by this.
+LEAST_FALL = 1e-3
 # Share of normal rows that are rejected.
 REJECTED = 1e-6
 # Repeated windows of a text that are looked up one by one; more are found by sorting.
@@ -211,17 +212,24 @@ def _concentrated(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     return _estimates(binned.join(written(limits), "group").filter("bin <= limit"))
 
 
-def estimates_of(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """Minimum covariance determinant estimates of each group of rows."""
-    best = written(_concentrated(rows, written(_start(rows))))
-    for _ in range(steps):
-        after = written(_concentrated(rows, best))
-        joined = best.select("group", F.col("log_det").alias("before")).join(after.select("group", "log_det"), "group")
-        fall = joined.agg(F.max(F.col("before") - F.col("log_det")).alias("fall")).first()["fall"]
-        if fall is None or fall < 1e-3:
-            break
-        best = after
-    return best
+def _settled(rows: DataFrame, start: DataFrame) -> DataFrame:
+    """Concentration steps from a start. A group takes them for as long as its determinant falls."""
+    best = written(_concentrated(rows, written(start)).withColumn("moving", F.lit(True)))
+    while not (moving := best.filter("moving")).isEmpty():
+        after = written(_concentrated(rows.join(moving.select("group"), "group", "left_semi"), moving.drop("moving")))
+        fallen = moving.select("group", F.col("log_det").alias("before")).join(after.select("group", "log_det"), "group")
+        fallen = written(fallen.filter(F.col("before") - F.col("log_det") >= LEAST_FALL).select("group"))
+        lower = after.join(fallen, "group", "left_semi").withColumn("moving", F.lit(True))
+        best = written(best.join(fallen, "group", "left_anti").withColumn("moving", F.lit(False)).unionByName(lower))
+    return best.drop("moving")
+
+
+def estimates_of(rows: DataFrame) -> DataFrame:
+    """Minimum covariance determinant estimates of each group of rows: the lower of two starts, from quartiles and from all rows."""
+    ends = _settled(rows, _start(rows)).unionByName(_settled(rows, _estimates(rows)))
+    columns = [c for c in ends.columns if c != "group"]
+    lowest = ends.groupBy("group").agg(F.min(F.struct("log_det", *[c for c in columns if c != "log_det"])).alias("e"))
+    return written(lowest.select("group", *[F.col("e." + c) for c in columns]))
 
 
 def rate(

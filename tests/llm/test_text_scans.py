@@ -205,6 +205,59 @@ def test_quality_rejects_outliers_only(rows):
     assert rated[1002]["kept"]
 
 
+def numpy_kept(x):
+    """Minimum covariance determinant of the rows of x by the same steps in numpy, and which rows it keeps."""
+    size, floors = x.shape[1], np.diag(np.square(list(quality.FLOORS.values())))
+
+    def estimate(core):
+        return core.mean(axis=0), np.cov(core.T, bias=True) * quality.consistency(quality.CORE, size) + floors
+
+    def distance(centre, cov):
+        z = np.linalg.solve(np.linalg.cholesky(cov), (x - centre).T)
+        return (z * z).sum(axis=0)
+
+    def concentrated(centre, cov):
+        bins = np.floor(np.log(distance(centre, cov) + 1e-9) * quality.BINS)
+        return estimate(x[bins <= np.sort(bins)[int(np.ceil(quality.CORE * len(x))) - 1]])
+
+    def binned(share):
+        return np.sort(np.floor(x * quality.BINS), axis=0)[int(np.ceil(share * len(x))) - 1]
+
+    scale = np.maximum((binned(0.75) - binned(0.25)) / quality.BINS / 1.349, list(quality.FLOORS.values()))
+    ends = []
+    for now in (((binned(0.5) + 0.5) / quality.BINS, np.diag(scale**2)), estimate(x)):
+        now = concentrated(*now)
+        while True:
+            after = concentrated(*now)
+            if np.linalg.slogdet(now[1])[1] - np.linalg.slogdet(after[1])[1] < quality.LEAST_FALL:
+                break
+            now = after
+        ends.append(now)
+    best = min(ends, key=lambda e: np.linalg.slogdet(e[1])[1])
+    return distance(*best) <= quality.chi_square_quantile(1 - quality.REJECTED, size)
+
+
+def test_quality_equals_numpy(rows):
+    """Kept rows of two groups, one of them with a fifth of outliers on one side."""
+    rng, docs = random.Random(12), []
+    for i in range(260):
+        words = prose(7000 + i, rng.randint(55, 300)).split(" ")
+        if i % 2 and i % 5 == 1:
+            words = [w + "#$%" for w in words[: 60 + i % 7]]
+        elif i % 11 == 0:
+            words = words + [words[0] + str(k) * rng.randint(1, 30) for k in range(rng.randint(0, 40))]
+        docs.append((i, " ".join(words), "en", "ab"[i % 2]))
+    df = rows("doc_id bigint, text string, lang string, source string", docs)
+    rated = {r["doc_id"]: r for r in quality.rate(df).collect()}
+    for source in range(2):
+        own = [rated[i] for i in range(source, 260, 2) if not rated[i]["base_failed"]]
+        n = np.array([r["n_words"] for r in own], float)
+        parts = [np.sqrt(np.array([r[c] for r in own]) / n) for c in ("n_symbols", "n_dup_lines", "n_repeat_words")]
+        x = np.column_stack([np.log(n), np.log(np.array([r["word_chars"] for r in own]) / n), *parts])
+        assert [r["kept"] for r in own] == numpy_kept(x).tolist()
+    assert 0 < sum(not r["kept"] for r in rated.values()) < 60
+
+
 def test_quality_of_odd_documents(odd, none):
     rated = quality.rate(odd).collect()
     docs = odd.collect()
