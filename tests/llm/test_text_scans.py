@@ -112,6 +112,45 @@ def test_the_network_adds_what_the_patterns_miss(rows):
         assert all("example" not in text[a:b] for k, a, b in found[i] if k == "cnn")
 
 
+def test_candidates_have_digits_or_not():
+    text = "plain international words, end.Next well-known Capitalised sk_live_abcdefghijkl ABCDEFGHIJKLMNOPqrstuvwx hunter2abc " + "q" * 24
+    found = [text[a:b] for a, b in secrets.candidates(text)]
+    assert found == ["sk_live_abcdefghijkl", "ABCDEFGHIJKLMNOPqrstuvwx", "q" * 24]
+
+
+def test_candidates_beyond_a_finding():
+    spans = [("hex", 2, 30), ("assign", 28, 40)]
+    assert secrets.within((2, 40), spans) and secrets.within((5, 20), spans)
+    assert not secrets.within((0, 30), spans) and not secrets.within((2, 41), spans) and not secrets.within((50, 60), spans)
+
+
+def test_gradients_of_the_network():
+    """Against differences of the loss."""
+    rng = np.random.default_rng(3)
+    rows = [("see ", "abc123DEF_", " end"), ("", "9f" * 20, ""), ("key: ", "Zz/+=41", "\n")]
+    y, weight = np.array([1.0, 0.0, 1.0]), np.array([0.5, 2.0, 1.0])
+    shapes = [(secrets.KERNEL * secrets._CHANNELS, secrets.FILTERS), secrets.FILTERS, 2 * secrets.FILTERS, 1]
+    net = secrets.Network(*[rng.normal(0, 0.2, s) for s in shapes])
+    x = secrets.encode(rows)
+
+    def loss():
+        z = net.forward(x)[3]
+        return (weight * (np.logaddexp(0, z) - y * z)).sum()
+
+    columns, response, pooled, z = net.forward(x)
+    grads = net.gradients(columns, response, pooled, weight * (1 / (1 + np.exp(-z)) - y))
+    for values, grad in zip((net.kernel, net.bias, net.dense, net.constant), grads):
+        flat, found = values.reshape(-1), np.asarray(grad).reshape(-1)
+        for at in rng.choice(len(flat), min(12, len(flat)), replace=False):
+            before, step = flat[at], 1e-6
+            flat[at] = before + step
+            high = loss()
+            flat[at] = before - step
+            low = loss()
+            flat[at] = before
+            assert found[at] == pytest.approx((high - low) / (2 * step), rel=1e-4, abs=1e-6)
+
+
 def test_secrets_of_odd_documents(odd, none):
     found = secrets.scan(odd)
     assert set(odd.columns) < set(found.columns)
