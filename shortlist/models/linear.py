@@ -267,11 +267,15 @@ def fit_listwise(
     gain: str,
     columns: Sequence[str],
     k: int = 5,
-    steps: int = 5,
+    steps: int = 50,
     rate: float = 1.0,
     start: LinearRanker | None = None,
+    tolerance: float = 0.02,
 ) -> LinearRanker:
-    """Gradient steps on NDCG@k-weighted pairs, from a start such as the pairwise ranker."""
+    """Gradient steps on NDCG@k-weighted pairs, from a start such as the pairwise ranker.
+
+    Steps end once the gradient is ``tolerance`` times the first in size, or after ``steps``.
+    """
     ranker = start or standardiser(df, columns)
     base = df.select(
         col(group).alias("grp"),
@@ -284,7 +288,7 @@ def fit_listwise(
     ideal = ideal_dcg(rows, "grp", "g", k).filter(F.col("idcg") > 0)
     graded = written(attach(rows, ideal, ["grp"], "inner"))
     groups = max(ideal.count(), 1)
-    weights = np.array(ranker.weights)
+    weights, first = np.array(ranker.weights), None
     for _ in range(steps):
         terms = [F.get("x", F.lit(i)) * F.lit(float(w)) for i, w in enumerate(weights)]
         score = F.lit(0.0)
@@ -309,6 +313,10 @@ def fit_listwise(
         total = parts.agg(vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("v")).first()["v"]
         if not total:
             break
+        size = float(np.linalg.norm(total))
+        first = size if first is None else first
         weights = weights + rate * np.array(total) / groups
+        if size <= tolerance * first:
+            break
     return replace(ranker, weights=tuple(float(w) for w in weights))
 

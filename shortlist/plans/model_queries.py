@@ -581,7 +581,7 @@ def _permutation_importance(spark, folder):
 @query("native_importance")
 def _native_importance(spark, folder):
     rows = _vectors(_rows(spark, folder))
-    model = trees.fit_pointwise(rows, GROUP, GAIN, split="split", kind="forest", maxDepth=4)
+    model = trees.fit_pointwise(rows, GROUP, GAIN, split="split", kind="forest", numTrees=200, maxDepth=4)
     return evaluate.table(rows, trees.native_importance(model, FEATURES), ["feature", "score"])
 
 
