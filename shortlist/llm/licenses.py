@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 ANCHORS = 8
 SLACK = 8
+# More starts of a notice than this are compared all at once, in blocks.
+FEW_STARTS, START_BLOCK = 8, 1 << 16
 VOTES = 0.6
 COVERAGE = 0.6
 PIECE = 1 << 20
@@ -206,6 +208,22 @@ class Index:
                 if len(run):
                     yield k, int(starts[run[0]]), int(starts[upto[run[-1]] - 1])
 
+    def best_start(self, numbers: np.ndarray, words: np.ndarray, first: int, last: int) -> tuple[float, int]:
+        """The largest weight that a start from ``first`` to ``last`` covers, and the first such start.
+
+        Each word of the template is looked for around its place after all starts at once.
+        """
+        total = np.zeros(last - first + 1)
+        reach = np.arange(first - SLACK - 1, last + len(words) + SLACK)
+        stretch = np.where((reach >= 0) & (reach < len(numbers)), numbers[np.clip(reach, 0, max(0, len(numbers) - 1))], -1)
+        counts: dict[int, np.ndarray] = {}
+        for i, word in enumerate(words.tolist()):
+            if word not in counts:
+                counts[word] = np.cumsum(stretch == word)
+            upto = counts[word][i : i + len(total) + 2 * SLACK + 1]
+            total += self.weight[word] * (upto[2 * SLACK + 1 :] > upto[: len(total)])
+        return float(total.max()), first + int(np.argmax(total >= total.max() - 1e-9))
+
     def verify(self, numbers: np.ndarray, k: int, first: int, last: int) -> tuple[bool, float, int, int]:
         """Whether the mandatory phrases stand there, the covered share, and the stretch of the file."""
         _, must, words, _ = self.templates[k]
@@ -213,7 +231,11 @@ class Index:
         stretch = numbers[a:b]
         complete = all(len(places(stretch, m)) for m in must)
         weight, best = self.weight[words], 0.0
-        for start in range(first, last + 1):
+        starts = range(first, last + 1)
+        if len(starts) > FEW_STARTS:
+            at = max(range(first, last + 1, START_BLOCK), key=lambda b: self.best_start(numbers, words, b, min(last, b + START_BLOCK - 1))[0])
+            starts = [self.best_start(numbers, words, at, min(last, at + START_BLOCK - 1))[1]]
+        for start in starts:
             hit = np.zeros(len(words), bool)
             for shift in range(-SLACK, SLACK + 1):
                 spot = np.arange(len(words)) + start + shift

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -304,6 +305,25 @@ def test_quality_of_odd_documents(odd, none):
     assert quality.rate(none).count() == 0
 
 
+def test_many_starts_of_a_notice():
+    """The best of many starts at once is that of one after the other; a long text of licence words takes little time."""
+    terms = licenses.vocabulary()
+    index = licenses.Index(terms, np.arange(len(terms) + 1) % 7, 10)
+    rng, body = random.Random(4), licenses.TEMPLATES[1][2]
+    texts = ["mit license " * 60, "license under the " * 50, " ".join(rng.choice(body.split()) for _ in range(200)), "see the license " * 9 + body + " or the license" * 9]
+    for text in texts:
+        numbers = licenses.numbered_text(terms, text)
+        for k, (_, _, words, _) in enumerate(index.templates):
+            weight, covered = index.weight[words], []
+            for start in range(len(numbers)):
+                hit = [any(0 <= start + i + d < len(numbers) and numbers[start + i + d] == w for d in range(-licenses.SLACK, licenses.SLACK + 1)) for i, w in enumerate(words)]
+                covered.append(weight[hit].sum() / weight.sum())
+            assert index.verify(numbers, k, 0, len(numbers) - 1)[1] == pytest.approx(min(1.0, max(covered)), abs=1e-9)
+    began = time.process_time()
+    index.scan("mit license " * 90_000)
+    assert time.process_time() - began < 10
+
+
 def test_chi_square():
     assert quality.chi_square_quantile(0.95, 5) == pytest.approx(11.0705, abs=1e-3)
     assert quality.chi_square_quantile(0.75, 1) == pytest.approx(1.3233, abs=1e-3)
