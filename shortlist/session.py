@@ -55,8 +55,8 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def written(df: DataFrame, codec: str = "snappy") -> DataFrame:
+    """Write ``df`` to the shared folder, compressed by ``codec``, and read it back.
 
     Cuts the lineage before a frame is used several times. Unlike a checkpoint
     the table is columnar, so later scans read only what they need, and a lost
@@ -64,5 +64,14 @@ def written(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/shortlist-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table of :func:`written` that nothing reads any more; other tables stay."""
+    jvm = table.sparkSession._jvm
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        if path.getName().startswith("shortlist-"):
+            path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
