@@ -94,15 +94,19 @@ def _open(posts: DataFrame, fps: DataFrame, turn: int) -> DataFrame:
     return posts.join(checked(written(buckets.join(fps, "pivot"))), "key")
 
 
-def connected(nodes: DataFrame, keys: Column, near: Near, verify: Verify | None = None, kept: bool = False) -> DataFrame:
+def connected(nodes: DataFrame, keys: Column, near: Near, verify: Verify | None = None) -> DataFrame:
     """(id, root) of the nodes (id, fp) that link to another, root being the smallest id of the group.
 
     ``keys`` lists the buckets of ``fp``, ``near`` says whether two fingerprints are
-    close, and ``verify`` keeps the pairs (a, b) that link. Ids are distinct longs. ``kept`` says that
-    the nodes are a written table already.
+    close, and ``verify`` keeps the pairs (a, b) that link. Ids are distinct longs.
     """
-    nodes = nodes if kept else written(nodes)
-    posts = nodes.select(F.explode(keys).alias("key"), "id", "fp").withColumn("root", F.col("id"))
+    nodes = written(nodes)
+    return grouped(nodes, nodes.select(F.explode(keys).alias("key"), "id", "fp"), near, verify)
+
+
+def grouped(nodes: DataFrame, posts: DataFrame, near: Near, verify: Verify | None = None) -> DataFrame:
+    """The same from a written table of nodes and the members (key, id, fp) of the buckets."""
+    posts = posts.withColumn("root", F.col("id"))
     edges: list[DataFrame] = []
     roots: DataFrame | None = None
 
