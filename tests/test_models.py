@@ -1,10 +1,13 @@
 """Model jobs against brute force and on planted structure."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shortlist.models import assembly, evaluate, factors, linear, store, trees
+from shortlist.models import assembly, evaluate, factor_search, factors, linear, store, trees
+from shortlist.session import shared_folder
 
 
 @pytest.fixture(scope="module")
@@ -171,6 +174,31 @@ def test_coclusters(ratings):
     assert errors <= base + 1e-9
 
 
+def test_states_of_earlier_steps_are_deleted(ratings, spark):
+    """What a fit leaves in the shared folder does not grow with its steps."""
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+
+    def left(fit):
+        before = set(folder.iterdir())
+        fit()
+        return len(set(folder.iterdir()) - before)
+
+    assert left(lambda: factors.fit_coclusters(ratings, 2, 2, epochs=1)) == left(lambda: factors.fit_coclusters(ratings, 2, 2, epochs=3))
+    assert left(lambda: factors.fit_factors(ratings, 2, 1)) == left(lambda: factors.fit_factors(ratings, 2, 3))
+    one, three = (left(lambda n=n: factor_search.search_factors(ratings, (2,), (n,), (0.1,), folds=2)) for n in (1, 3))
+    assert one == three
+
+
+def test_factors_of_an_id_in_several_batches(ratings, monkeypatch):
+    """Biases and factors do not depend on the rows of a batch, and an unknown id gets none."""
+    more = ratings.unionByName(ratings.limit(2).withColumn("user", F.lit(None).cast(ratings.schema["user"].dataType)))
+    whole = {r["user"]: r["user_factors"] for r in factors.fit_factors(more, 2, 2).users.collect()}
+    monkeypatch.setattr(factors, "BATCH", 3)
+    for r in factors.fit_factors(more, 2, 2).users.collect():
+        assert (r["user_factors"] is None) == (r["user"] is None)
+        assert r["user"] is None or r["user_factors"] == pytest.approx(whole[r["user"]], abs=1e-9)
+
+
 def test_random_search_is_seeded(planted):
     def fit(penalty):
         return lambda df: df.withColumn("prediction", F.col("a") * F.lit(penalty))
