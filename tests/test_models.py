@@ -275,3 +275,20 @@ def test_neighbours_equal_all_pairs(rows, support):
     for r in factors.item_neighbours(rows("user int, item int, rating double", data), 4, support, hot_rows=15).orderBy("item", "rank").collect():
         found[r["item"]].append((-round(r["similarity"], 9), -r["common"], r["other"]))
     assert found == want
+
+
+@pytest.mark.parametrize("basket", [0, 12, 64])
+def test_neighbours_of_users_with_few_and_many_ratings(rows, basket):
+    """Users of few ratings, of many and an unknown one; pairs may reach their support through both kinds."""
+    data = [(u, i, float((u * 3 + i) % 5)) for u in range(20) for i in range(30) if (u * 5 + i * 7) % (2 if u < 3 else 5) == 0]
+    frame = rows("user int, item int, rating double", [*data, (None, 1, 1.0), (None, 2, 1.0), (4, None, 1.0)])
+    found = {(r["item"], r["other"]): (r["common"], r["similarity"]) for r in factors.item_neighbours(frame, 100, 2, basket=basket).collect()}
+    by_item = {i: {u: r for u, j, r in data if j == i} for i in range(30)}
+    want = {}
+    for i, a in by_item.items():
+        for j, b in by_item.items():
+            common = a.keys() & b.keys()
+            size = np.sqrt(sum(a[u] ** 2 for u in common) * sum(b[u] ** 2 for u in common))
+            if i != j and len(common) >= 2 and size:
+                want[i, j] = (len(common), pytest.approx(sum(a[u] * b[u] for u in common) / size, abs=1e-9))
+    assert found == want
