@@ -261,31 +261,44 @@ def _permutations(size: int, count: int, seed: int) -> list[tuple[int, ...]]:
 def shapley(ensemble: Ensemble, x: np.ndarray, background: np.ndarray, orders: list[tuple[int, ...]]) -> np.ndarray:
     """(rows, features): mean change of the score as a row's features replace a background row's, one by one.
 
-    Over all orders this is the exact Shapley value against the background. A set of replaced features that
-    several orders share is scored once.
+    Over all orders this is the exact Shapley value against the background. Trees that read the same features go together, and a
+    set of these that several orders share is scored once.
     """
     size = x.shape[1]
-    masks: dict[int, float] = {}
-    terms: dict[tuple[int, int], list[float]] = {}
-    for order in orders:
-        mask = 0
-        for feature in order:
-            step = mask | 1 << feature
-            terms.setdefault((mask, feature), []).append(-1.0 / len(orders))
-            terms.setdefault((step, feature), []).append(1.0 / len(orders))
-            masks[mask] = masks[step] = 0.0
-            mask = step
     out = np.zeros((len(x), size))
-    for mask in masks:
-        chosen = np.array([bool(mask >> f & 1) for f in range(size)])
-        mixed = np.where(chosen, x[:, None, :], background[None, :, :]).reshape(-1, size)
-        score = ensemble.predict(mixed).reshape(len(x), len(background)).mean(axis=1)
-        for feature in range(size):
-            if (mask, feature) in terms:
-                out[:, feature] += sum(terms[mask, feature]) * score
+    for read, part in _by_features(ensemble).items():
+        # What trees do not read has no share in their score and stands in for nothing: orders of the rest serve.
+        masks: dict[int, float] = {}
+        terms: dict[tuple[int, int], float] = {}
+        for order in orders:
+            mask = 0
+            for feature in order:
+                if feature not in read:
+                    continue
+                step = mask | 1 << feature
+                terms[mask, feature] = terms.get((mask, feature), 0.0) - 1.0 / len(orders)
+                terms[step, feature] = terms.get((step, feature), 0.0) + 1.0 / len(orders)
+                masks[mask] = masks[step] = 0.0
+                mask = step
+        for mask in masks:
+            chosen = np.array([bool(mask >> f & 1) for f in range(size)])
+            mixed = np.where(chosen, x[:, None, :], background[None, :, :]).reshape(-1, size)
+            score = part.predict(mixed).reshape(len(x), len(background)).mean(axis=1)
+            for feature in read:
+                if (mask, feature) in terms:
+                    out[:, feature] += terms[mask, feature] * score
     return out
 
 
+def _by_features(ensemble: Ensemble) -> dict[frozenset[int], Ensemble]:
+    """Trees by the features that they read; a score is the sum over the parts, and so are its Shapley values."""
+    parts: dict[frozenset[int], list] = {}
+    for tree, weight in zip(ensemble.trees, ensemble.weights):
+        inner = tree.left != np.arange(len(tree.left))
+        parts.setdefault(frozenset(tree.feature[inner].tolist()), []).append((tree, weight))
+    return {read: Ensemble(*(tuple(v) for v in zip(*part))) for read, part in parts.items() if read}
+
+
 def tree_attributions(
     df: DataFrame, ensemble: Ensemble, background: Sequence[Sequence[float]], features: str = "features",
     name: str = "attribution", orders: int = 120, seed: int = 42,
