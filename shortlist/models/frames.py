@@ -1,31 +1,5 @@
 """Batches of rows that hold whole groups."""
 
-from __future__ import annotations
+from ..operators.frames import BATCH, whole_groups
 
-from collections.abc import Iterator
-
-import pandas as pd
-
-# Rows that are worked on at once.
-BATCH = 8192
-
-
-def whole_groups(batches: Iterator[pd.DataFrame], group: str, rows: int = BATCH) -> Iterator[pd.DataFrame]:
-    """Frames of about ``rows`` rows that hold whole groups, from rows in the order of ``group``. An unknown group is one."""
-    held: list[pd.DataFrame] = []
-    size = 0
-    for batch in batches:
-        for at in range(0, len(batch), rows):
-            held.append(batch.iloc[at : at + rows])
-            size += len(held[-1])
-            if size < rows:
-                continue
-            frame = pd.concat(held, ignore_index=True)
-            code = pd.factorize(frame[group], use_na_sentinel=False)[0]
-            last = code == code[-1]
-            if not last.all():
-                yield frame[~last]
-                frame = frame[last]
-            held, size = [frame], len(frame)
-    if size:
-        yield pd.concat(held, ignore_index=True)
+__all__ = ["BATCH", "whole_groups"]
