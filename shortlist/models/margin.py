@@ -13,10 +13,11 @@ that divides the gradient by it never raises the loss. Steps go on until NDCG@k
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +25,7 @@ from ..functions.columns import safe_div
 from ..operators.metrics import mean_ndcg
 from ..operators.ordering import HOT_ROWS, attach, col, has_hot_group, running_total
 from ..session import written
+from .frames import whole_groups
 from .linear import LinearRanker, pair_levels, pair_normal
 
 MAX_LEVELS = 16
@@ -49,17 +51,75 @@ def missed(rows: DataFrame, levels: Sequence[float], hot_rows: int | None) -> Da
     return events.filter("_ask").select(*[col(c) for c in rows.columns], above("c").alias("n"), above("s").alias("total"))
 
 
+def _missed_in(code: np.ndarray, g: np.ndarray, s: np.ndarray, levels: Sequence[float]) -> tuple[np.ndarray, np.ndarray]:
+    """``n`` and ``total`` of :func:`missed` for rows of whole groups numbered by ``code``."""
+    size = len(s)
+    order = np.lexsort([np.repeat([1, 0], size), np.append(s + 1.0, s), np.append(code, code)])
+    asks, at = order < size, order % size
+    group, row = code[at], at[asks]
+    first = np.searchsorted(group, group)
+    n, total = np.zeros(size), np.zeros(size)
+    for level in levels[1:]:
+        counts = ~asks & (g[at] == level)
+        lower = g[row] < level
+        for out, value in ((n, np.where(counts, 1.0, 0.0)), (total, np.where(counts, s[at], 0.0))):
+            run = np.append(0.0, np.cumsum(value))
+            out[row] += np.where(lower, (run[:-1] - run[first])[asks], 0.0)
+    return n, total
+
+
+def _group_gradient(weights: np.ndarray, levels: tuple[float, ...], per_group: bool):
+    names = [f"x{i}" for i in range(len(weights))]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        gradient = np.zeros(len(weights))
+        for frame in whole_groups(batches, "grp"):
+            x, g, code = frame[names].to_numpy(float), frame["g"].to_numpy(float), pd.factorize(frame["grp"])[0]
+            s = np.zeros(len(x))
+            for i, w in enumerate(weights):
+                s = s + x[:, i] * w
+            omega = np.ones(len(x))
+            if per_group:
+                groups = int(code.max()) + 1
+                rest = np.bincount(code, minlength=groups) * 1.0
+                pairs = rest * (rest - 1) / 2
+                for level in levels:
+                    held = np.bincount(code[g == level], minlength=groups)
+                    pairs -= held * (held - 1) / 2
+                omega = np.where(pairs > 0, 1.0 / np.maximum(pairs, 1.0), 0.0)[code]
+            # A row of lower gain, and mirrored one of higher gain.
+            for sign, gains, scores, steps in ((1.0, g, s, levels), (-1.0, -g, -s, tuple(-v for v in reversed(levels)))):
+                n, total = _missed_in(code, gains, scores, steps)
+                gradient += (sign * omega * (n * (1.0 + scores) - total)) @ x
+        yield pd.DataFrame({"i": np.arange(len(gradient)), "v": gradient})
+
+    return run
+
+
 @dataclass(frozen=True)
 class Pairs:
-    """Rows ready for gradients: grp, g, x (standardised array), omega (weight of the group's pairs)."""
+    """Rows ready for gradients: grp, g, x (standardised array), omega (weight of the group's pairs).
+
+    Where no group is hot, ``rows`` are kept by group instead, as grp, g and a column per input, and a gradient is a pass over them.
+    """
 
     rows: DataFrame
     levels: tuple[float, ...]
     size: int
     hot_rows: int | None
+    per_group: bool = True
+
+    def close(self) -> None:
+        """Forget kept rows."""
+        self.rows.unpersist()
 
     def gradient(self, weights: Sequence[float]) -> np.ndarray:
         """Of the loss over all pairs, by the weights."""
+        if self.hot_rows is None:
+            run = _group_gradient(np.array(weights, float), self.levels, self.per_group)
+            parts = self.rows.mapInPandas(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
+            found = {r["i"]: r["v"] for r in parts}
+            return np.array([found.get(i, 0.0) for i in range(self.size)])
         terms = [F.get("x", F.lit(i)) * F.lit(float(w)) for i, w in enumerate(weights)]
         scored = self.rows.withColumn("s", sum(terms, F.lit(0.0)))
         # A row of lower gain, and mirrored one of higher gain.
@@ -76,19 +136,22 @@ class Pairs:
 def pairs_of(
     df: DataFrame, group: str, gain: str, ranker: LinearRanker, per_group: bool = True, hot_rows: int | None = HOT_ROWS
 ) -> Pairs:
-    """The rows of groups that have a pair, written once for all steps."""
+    """The rows of groups, shuffled by group once for all steps; with a hot group, those that have a pair, written once."""
     rows = df.select(col(group).alias("grp"), col(gain).cast("double").alias("g"), F.array(*ranker.standard()).alias("x"))
     rows = rows.filter(F.col("g").isNotNull())
     levels = [r["g"] for r in rows.select("g").distinct().limit(MAX_LEVELS + 1).collect()]
     if len(levels) > MAX_LEVELS:
         raise ValueError(f"more than {MAX_LEVELS} different gains: grade them first")
+    # Two events a row meet in a group.
+    if hot_rows is None or not has_hot_group(rows, ["grp"], max(1, hot_rows // 2)):
+        inputs = [F.get("x", F.lit(i)).alias(f"x{i}") for i in range(len(ranker.columns))]
+        kept = rows.filter("grp is not null").select("grp", "g", *inputs).repartition("grp").sortWithinPartitions("grp").persist()
+        return Pairs(kept, tuple(sorted(levels)), len(ranker.columns), None, per_group)
     sizes = pair_levels(rows.select("grp", "g"), "grp", "g", hot_rows)
     counted = sizes.groupBy("grp").agg(F.sum(F.col("n") * F.col("lower")).cast("double").alias("pairs")).filter("pairs > 0")
     omega = safe_div(F.lit(1.0), F.col("pairs")) if per_group else F.lit(1.0)
     kept = written(attach(rows, counted, ["grp"], "inner", hot_rows).withColumn("omega", omega).drop("pairs"))
-    # Two events a row meet in a group.
-    hot = hot_rows is not None and has_hot_group(kept, ["grp"], max(1, hot_rows // 2))
-    return Pairs(kept, tuple(sorted(levels)), len(ranker.columns), hot_rows if hot else None)
+    return Pairs(kept, tuple(sorted(levels)), len(ranker.columns), hot_rows, per_group)
 
 
 def fit_margin(
@@ -121,4 +184,5 @@ def fit_margin(
         if since >= patience or step == steps:
             break
         weights = weights - np.linalg.solve(bound, pairs.gradient(weights) + ridge * weights)
+    pairs.close()
     return best[1]
