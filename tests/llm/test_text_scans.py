@@ -402,3 +402,28 @@ def test_edited_and_separated_items(rows):
     df, bench = rows("doc_id bigint, text string", docs), rows("item_id bigint, q string, a string", items)
     found = benchmarks.leaks(df, bench, question="q", answer="a").collect()
     assert {r["doc_id"]: [x["item_id"] for x in r["leaks"]] for r in found} == want
+
+
+def test_the_network_learns_from_all_findings(rows, monkeypatch):
+    """Every different candidate reaches an epoch or the calibration, however many parts there are."""
+    docs = [(i, f"note{i:05d}x{i * 7919:09d} and token=k{i:04d}z{i * 104729:010d} end") for i in range(600)]
+    df = rows("doc_id bigint, text string", [*docs, *docs[:50]])
+    found = secrets.findings(df, "text")
+    assert {r["y"]: r["n"] for r in found.groupBy("y").agg(F.count("*").alias("n")).collect()} == {0: 600, 1: 600}
+    trained = {}
+
+    def counted(rows, counts, train=secrets.train):
+        trained.update({(r["part"], r["y"]): r["n"] for r in rows.groupBy("part", "y").agg(F.count("*").alias("n")).collect()})
+        assert counts == {c: sum(n for (_, y), n in trained.items() if y == c) for c in (0, 1)}
+        return train(rows, counts)
+
+    def set_aside(net, rows, calibrate=secrets.calibrate):
+        assert rows.count() + sum(trained.values()) == 1200
+        return calibrate(net, rows)
+
+    monkeypatch.setattr(secrets, "train", counted)
+    monkeypatch.setattr(secrets, "calibrate", set_aside)
+    net = secrets.fit(df, "text", part_rows=300)
+    assert len({part for part, _ in trained}) == 3
+    sure = net.probabilities([("", docs[5][1].split(" ")[0], ""), ("", docs[7][1].split(" ")[2], "")])
+    assert sure[0] < net.threshold <= sure[1]
