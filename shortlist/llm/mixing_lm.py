@@ -13,8 +13,8 @@ with an end mark, is the log-probability of the text.
 Fitting gathers the counts of all byte sequences, each a byte after its contexts, from all training
 texts. The table has up to 2^``MAX_BITS`` slots of two one-byte counts, exact up to 32 and
 logarithmic above, and grows with the number of sequences until then, which bounds
-the broadcast to 32 MB. So that slots are not shared by too many, long contexts are kept
-of the commonest sequences only; short ones of all. The weights are fitted by Newton steps on sums over all
+the broadcast to 32 MB. Every sequence counts in every context: none is left out, beyond the bound more of them share a slot.
+The weights are fitted by Newton steps on sums over all
 sequences, each counted without one occurrence of itself. Within a
 batch of texts a sequence is evaluated once, however often it stands there.
 
@@ -48,8 +48,6 @@ INPUTS = ORDERS + 1
 LEVELS = (1, 4, 16)
 GATES = ORDERS * (len(LEVELS) + 1) ** 2 * 8
 MIN_BITS, MAX_BITS = 16, 24
-# Contexts of SHALLOW bytes or more, and words, count only sequences among about the MAX_SEQUENCES commonest.
-SHALLOW, MAX_SEQUENCES = 4, 1 << 20
 SLOT_BLOCK = 1 << 16
 PRIOR = 0.4
 NEWTON_STEPS, RIDGE = 4, 1e-2
@@ -67,8 +65,8 @@ END, END_WORD = b"\xff", b"\n"
 EXACT, PER_LOG = 32, 9.0
 _COUNT = np.arange(256, dtype=np.float32)
 _COUNT[EXACT:] = EXACT * np.exp((_COUNT[EXACT:] - EXACT) / PER_LOG)
-# Sequences that are evaluated at once.
-BLOCK = 1 << 15
+# Sequences that are evaluated at once, and places.
+BLOCK, PLACES = 1 << 15, 1 << 13
 # Bytes that stand between words; zero stands before a text.
 _GAP = np.isin(np.arange(256), [0, 9, 10, 11, 12, 13, 32])
 _LAST = np.array([(1 << 8 * (k + 1)) - 1 for k in range(WORD + 1)], np.uint64)
@@ -111,15 +109,11 @@ def coded(count: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Network:
-    """Coded counts of zeros and ones per slot, and weights per gate and predictor.
-
-    Long contexts hold sequences that occur ``least`` times or more.
-    """
+    """Coded counts of zeros and ones per slot, and weights per gate and predictor."""
 
     bits: int
     zeros: np.ndarray
     ones: np.ndarray
-    least: int = 1
     tables: tuple[np.ndarray, ...] | None = None
     weights: np.ndarray = field(default_factory=lambda: np.full((GATES, INPUTS), 1.0 / INPUTS))
 
@@ -144,18 +138,17 @@ class Network:
             out[:, i] = ((mixed ^ mixed >> np.uint64(29)) * _MIX[0] >> np.uint64(64 - self.bits)).astype(np.int64)
         return out, bit
 
-    def inputs(self, keys: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def inputs(self, keys: np.ndarray, left_out: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Logits for the bits that came, (keys, predictors, 8), and the gates, (keys, 8).
 
-        With the numbers ``n`` of the sequences, one occurrence of each is taken out of the counts that hold it.
+        With ``left_out`` one occurrence of each sequence is taken out of its counts.
         """
         slots, bit = self.slots(keys)
         zeros, ones = _COUNT[self.zeros[slots]], _COUNT[self.ones[slots]]
         set_ = bit[:, None, :] == 1
         came, other = np.where(set_, ones, zeros), np.where(set_, zeros, ones)
-        if n is not None:
-            held = (np.arange(INPUTS) < SHALLOW) | (n[:, None] >= self.least)
-            came = np.maximum(0, came - held[:, :, None])
+        if left_out:
+            came = np.maximum(0, came - 1)
         seen = came + other
         longest = np.maximum(0, ((seen[:, :ORDERS] > 0) * np.arange(1, ORDERS + 1)[:, None]).max(axis=1) - 1)
         deep = np.searchsorted(LEVELS, np.take_along_axis(seen, longest[:, None], axis=1)[:, 0], side="right")
@@ -244,6 +237,19 @@ class Reader:
             state = np.ones((len(group), ORDERS)), np.zeros((len(group), ORDERS))
             total[[n for n, _ in group]] += self._read([part for _, part in group], state)
 
+    def _moved(self, logits: np.ndarray, code: np.ndarray, factor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Losses and slopes by scale of the places, few at a time so that they stay in the processor's cache."""
+        lost, push = np.empty(len(code), np.float32), np.empty(len(code), np.float32)
+        for i in range(0, len(code), PLACES):
+            at = slice(i, i + PLACES)
+            z = logits[code[at]]
+            odds = np.exp(z * -factor[at, None])
+            total = odds + np.float32(1)
+            odds /= total
+            push[at] = np.einsum("kb,kb->k", odds, z)
+            lost[at] = np.einsum("kb->k", np.log(total, out=total))
+        return lost, push
+
     def _read(self, parts: list[bytes], state: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
         """Natural log-probabilities of the parts; ``state`` holds scales and curvatures, and is brought up to date."""
         scale, curve = state
@@ -267,11 +273,9 @@ class Reader:
             at = order[a:b]
             code, who = codes[at], text[at]
             cell = who.astype(np.int64) * ORDERS + orders[code]
-            z = logits[code]
-            factor = scale.reshape(-1)[cell].astype(np.float32)[:, None]
-            odds = np.exp(z * -factor)
-            out -= np.bincount(who, np.einsum("kb->k", np.log1p(odds)), len(parts))
-            slope = np.bincount(cell, np.einsum("kb,kb->k", odds / (1 + odds), z), scale.size).reshape(scale.shape)
+            lost, push = self._moved(logits, code, scale.reshape(-1)[cell].astype(np.float32))
+            out -= np.bincount(who, lost, len(parts))
+            slope = np.bincount(cell, push, scale.size).reshape(scale.shape)
             curve += np.bincount(cell, bends[code], scale.size).reshape(scale.shape)
             scale += slope / (TRUST + curve)
             np.clip(scale, SLOWEST, FASTEST, out=scale)
@@ -336,8 +340,8 @@ def fit_network(counts: DataFrame) -> Network:
     number = counts.count()
     # Slots for the contexts and bits of the sequences, up to the bound.
     bits = min(MAX_BITS, max(MIN_BITS, (16 * max(1, number)).bit_length()))
-    net = Network(bits, np.zeros(1 << bits, np.uint8), np.zeros(1 << bits, np.uint8), _least(counts, "n", MAX_SEQUENCES))
-    shape = Network(bits, np.zeros(0), np.zeros(0), net.least)
+    net = Network(bits, np.zeros(1 << bits, np.uint8), np.zeros(1 << bits, np.uint8))
+    shape = Network(bits, np.zeros(0), np.zeros(0))
 
     def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros((2, 1 << bits), np.float32)
@@ -345,9 +349,7 @@ def fit_network(counts: DataFrame) -> Network:
             keys, n = batch["key"].to_numpy(np.int64), batch["n"].to_numpy(np.float64)
             for at in range(0, len(keys), BLOCK):
                 slots, bit = shape.slots(keys[at : at + BLOCK])
-                own = n[at : at + BLOCK]
-                held = (np.arange(INPUTS) < SHALLOW) | (own[:, None] >= shape.least)
-                weight = own[:, None, None] * held[:, :, None]
+                weight = np.broadcast_to(n[at : at + BLOCK, None, None], slots.shape)
                 codes, used = pd.factorize(slots.ravel())
                 for value in (0, 1):
                     sums[value, used] += np.bincount(codes, (weight * (bit == value)[:, None, :]).ravel(), len(used)).astype(np.float32)
@@ -381,7 +383,8 @@ def _fit_weights(net: Network, counts: DataFrame) -> None:
     context = counts.sparkSession.sparkContext
     pairs = [(i, j) for i in range(INPUTS) for j in range(i + 1)]
     size = INPUTS + len(pairs)
-    tables = context.broadcast((net.bits, net.zeros, net.ones, net.least))
+    tables = context.broadcast((net.bits, net.zeros, net.ones))
+    first, second = (list(c) for c in zip(*pairs))
     for _ in range(NEWTON_STEPS):
         weights = net.weights
 
@@ -390,15 +393,18 @@ def _fit_weights(net: Network, counts: DataFrame) -> None:
             for batch in batches:
                 keys, n = batch["key"].to_numpy(np.int64), batch["n"].to_numpy(np.float64)
                 for at in range(0, len(keys), BLOCK):
-                    logit, gate = own.inputs(keys[at : at + BLOCK], n[at : at + BLOCK])
-                    gate = gate.ravel()
-                    x = [np.ascontiguousarray(logit[:, i]).ravel().astype(np.float64) for i in range(INPUTS)]
-                    miss = 1 / (1 + np.exp(np.clip(sum(v * weights[gate, i] for i, v in enumerate(x)), -60, 60)))
-                    n8 = np.repeat(n[at : at + BLOCK], 8)
-                    bend = n8 * miss * (1 - miss)
-                    columns = [n8 * miss * v for v in x] + [bend * x[i] * x[j] for i, j in pairs]
-                    for k, c in enumerate(columns):
-                        sums[:, k] += np.bincount(gate, c, GATES)
+                    logit, gate = own.inputs(keys[at : at + BLOCK], left_out=True)
+                    # By gate, so that the sums of one are products of matrices.
+                    order = np.argsort(gate.ravel().astype(np.int16), kind="stable")
+                    x = logit.transpose(0, 2, 1).reshape(-1, INPUTS)[order].astype(np.float64)
+                    gate, n8 = gate.ravel()[order], np.repeat(n[at : at + BLOCK], 8)[order]
+                    miss = 1 / (1 + np.exp(np.clip(np.einsum("ki,ki->k", x, weights[gate]), -60, 60)))
+                    pull, bent = n8 * miss, x * (n8 * miss * (1 - miss))[:, None]
+                    ends = np.cumsum(np.bincount(gate, minlength=GATES))
+                    for g in np.unique(gate).tolist():
+                        own_rows = slice(ends[g - 1] if g else 0, ends[g])
+                        sums[g, :INPUTS] += pull[own_rows] @ x[own_rows]
+                        sums[g, INPUTS:] += (bent[own_rows].T @ x[own_rows])[first, second]
             gates, parts = np.indices(sums.shape)
             yield pd.DataFrame({"gate": gates.ravel(), "part": parts.ravel(), "value": sums.ravel()})
 

@@ -124,3 +124,13 @@ def test_nothing_to_learn_from(rows):
     # Three even bytes with the end mark.
     assert found[1]["score"] == pytest.approx(24 * math.log10(0.5), rel=1e-5)
     assert found[2]["n_tokens"] == 1
+
+
+def test_rare_sequences_count_in_long_contexts(spark, monkeypatch):
+    """Every sequence is found under its longest context, however many commoner ones there are."""
+    monkeypatch.setattr(mixing_lm, "MAX_SEQUENCES", 4, raising=False)
+    docs = spark.createDataFrame([(0, "zqxjvk"), *[(i, "common words here") for i in range(1, 60)]], "doc_id bigint, text string")
+    counts = mixing_lm._partials(docs, "text").filter("key is not null").groupBy("key").agg(F.sum("n").alias("n"))
+    net = mixing_lm.fit_network(counts)
+    rare = mixing_lm.sequences(bytes(mixing_lm.WORD) + b"zqxjvk")
+    assert net.mixed(rare)[1].tolist()[-1] == mixing_lm.ORDERS - 1
