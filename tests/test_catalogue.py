@@ -64,3 +64,15 @@ def test_files(spark, tmp_path, rows):
     writers.write_params(spark, {"rank": 3}, str(tmp_path / "q"))
     writers.write_estimates(scores, str(tmp_path / "e"), "srch_id", "prop_id", "pred")
     assert spark.read.csv(str(tmp_path / "e"), header=True).columns == ["SearchId", "PropertyId", "Estimated"]
+
+
+def test_few_statistics_are_joined_without_a_shuffle_of_the_rows(spark):
+    df = spark.range(300).select(
+        (F.col("id") % 7).alias("k"), (F.col("id") * 37 % 101).cast("double").alias("v"), F.lit("train").alias("split"), "id"
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = composite_features(df, [Composite("f", "v", ("k",), ("mean", "rel max"))], "split")._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan.toString() and "hashpartitioning" not in plan.toString()
