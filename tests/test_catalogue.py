@@ -76,3 +76,13 @@ def test_few_statistics_are_joined_without_a_shuffle_of_the_rows(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" not in plan.toString() and "hashpartitioning" not in plan.toString()
+
+
+def test_row_features_are_not_written(spark, folder, monkeypatch):
+    """The wide table that meets the statistics holds the log, not what one row tells."""
+    log = by_modulo(impressions(configure(spark), folder), "srch_id")
+    tables = []
+    monkeypatch.setattr(hotel, "written", lambda df, write=hotel.written: tables.append(df.columns) or write(df))
+    hotel.build_features(log, composites=[c for c in COMPOSITES if c.family == "promotion"], tiebreak=ROW_TAIL)
+    assert set(log.columns) <= set(tables[0])
+    assert not any({"price_per_star", "comp5_rate_percent_diff_signed"} & set(t) for t in tables)
