@@ -117,6 +117,6 @@ def _submission_check(spark, folder):
     writers.write_ranked(ranked, path, "l_orderkey", "l_partkey")
     schema = T.StructType([T.StructField(n, T.LongType()) for n in ("l_orderkey", "l_partkey", "rank")])
     ours = positions(readers.read_log(spark, path, schema), [], ["l_orderkey", "rank"], "place")
-    sample = positions(lineitem(spark, folder), [], ["l_orderkey", *LINE_TAIL], "place")
+    sample = positions(lineitem(spark, folder, "l_orderkey", *LINE_TAIL), [], ["l_orderkey", *LINE_TAIL], "place")
     other = F.when(F.col("l_orderkey") % 101 == 0, F.col("l_orderkey") + 1).otherwise(F.col("l_orderkey"))
     return validate.validate(sample.withColumn("l_orderkey", other), ours, "l_orderkey", "place")
