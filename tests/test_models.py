@@ -292,3 +292,11 @@ def test_neighbours_of_users_with_few_and_many_ratings(rows, basket):
             if i != j and len(common) >= 2 and size:
                 want[i, j] = (len(common), pytest.approx(sum(a[u] * b[u] for u in common) / size, abs=1e-9))
     assert found == want
+
+
+def test_forests_read_parts_of_bounded_size(planted, monkeypatch):
+    parts = []
+    monkeypatch.setattr(trees, "PART_ROWS", 50)
+    monkeypatch.setattr(trees.RandomForestRegressor, "fit", lambda self, rows: parts.append(rows.rdd.getNumPartitions()))
+    trees.fit_pointwise(planted.withColumn("features", F.col("a")), "grp", "gain", kind="forest", numTrees=3)
+    assert parts == [12]
