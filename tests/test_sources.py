@@ -58,3 +58,25 @@ def test_parse_time(rows):
     assert [r["t"] for r in readers.parse_time(df, "t", strict=False).collect()] == [dt.datetime(2020, 1, 2, 3, 4, 5), None, None]
     with pytest.raises(Exception, match="CANNOT_PARSE|cannot be parsed|never"):
         readers.parse_time(df, "t").collect()
+
+
+def test_the_submission_sample_is_numbered_by_its_order_only(spark, rows, tmp_path, monkeypatch):
+    import datetime
+
+    from shortlist.plans import source_queries
+    from shortlist.plans.registry import LINE_TAIL
+
+    schema = (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    )
+    day = datetime.datetime(2020, 1, 1)
+    data = [(i // 3, i % 5, i % 4, i % 3, 1.0 * i, 10.0 * i, 0.1, 0.0, "R", "O", day) for i in range(303, 330)]
+    rows(schema, data).write.parquet(str(tmp_path / "lineitem.parquet"))
+    seen = []
+    number = source_queries.positions
+    monkeypatch.setattr(source_queries, "positions", lambda df, *a: seen.append(set(df.columns)) or number(df, *a))
+    found = source_queries._submission_check(spark, str(tmp_path)).collect()
+    # Order 101 stands in the sample as 102.
+    assert {(r["kind"], r["key"]) for r in found if r["kind"] == "group_count"} == {("group_count", "101"), ("group_count", "102")}
+    assert {"l_orderkey", *LINE_TAIL} in seen and not any("l_returnflag" in columns for columns in seen)
