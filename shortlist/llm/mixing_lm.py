@@ -39,7 +39,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import discard, written
 
 ORDERS = 6
 WORD = 7
@@ -369,10 +369,12 @@ def fit_network(counts: DataFrame) -> Network:
     slots = counts.mapInPandas(tally, "slot bigint, zeros double, ones double")
     slots = slots.groupBy("slot").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
     blocks = slots.repartition((F.col("slot") / SLOT_BLOCK).cast("bigint")).mapInPandas(pack, "block bigint, zeros binary, ones binary")
-    # At most 2^MAX_BITS slots of two bytes come to the driver.
+    # At most 2^MAX_BITS slots of two bytes come to the driver, from a table, so that the sums of the slots are not kept on disk.
+    blocks = written(blocks)
     for r in blocks.toLocalIterator():
         at = slice(r["block"] * SLOT_BLOCK, (r["block"] + 1) * SLOT_BLOCK)
         net.zeros[at], net.ones[at] = np.frombuffer(r["zeros"], np.uint8), np.frombuffer(r["ones"], np.uint8)
+    discard(blocks)
     if number:
         _fit_weights(net, counts)
     return net
@@ -432,7 +434,10 @@ def score(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str =
     """doc_id, train (whether ``training`` holds), n_tokens, n_known, train_tokens, base_score, score and bytes of every document."""
     partials = written(_partials(docs.filter(training), text))
     words = written(partials.filter("word is not null").groupBy("word").agg(F.sum("n").alias("n")))
-    net = fit_network(written(partials.filter("key is not null").groupBy("key").agg(F.sum("n").alias("n"))))
+    counts = written(partials.filter("key is not null").groupBy("key").agg(F.sum("n").alias("n")))
+    discard(partials)
+    net = fit_network(counts)
+    discard(counts)
     totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("words")).first()
     train_tokens = int(totals["n"])
     bottom = train_tokens + SMOOTHING * (totals["words"] + 1)
