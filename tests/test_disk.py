@@ -5,7 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from shortlist.llm import mixing_lm
+from shortlist.llm import components, fuzzy_lines, mixing_lm
 from shortlist.session import SHUFFLE_CLEANUP, shared_folder, written
 from tests.llm.conftest import prose
 
@@ -34,6 +34,48 @@ def test_shuffle_files_go_when_a_table_is_written(spark):
     assert sorted(table.collect()) == sorted(sums.collect())
 
 
+def edited_lines(rows):
+    lines = []
+    for n in range(40):
+        words = prose(n, 6 + n).split()
+        lines += [" ".join(words), " ".join(["edited", *words[1:]]), " ".join([*words[:-1], "other"]), " ".join(words)]
+    return rows("doc_id bigint, text string", list(enumerate(lines)))
+
+
+def test_line_groups_leave_their_result_only(spark, rows):
+    lines = fuzzy_lines.coded_lines(edited_lines(rows), "doc_id", "text", 1)
+    before = tables(spark)
+    groups = fuzzy_lines.all_line_groups(lines, 0.8)
+    assert groups.count() >= 120
+    # The groups, the codes of words of lines of the next step and no round's tables.
+    assert len(tables(spark) - before) <= 2
+
+
+def test_keys_in_parts_give_the_same_lines(spark, rows, monkeypatch):
+    """Of each four lines the first stays, whatever the parts."""
+    assert fuzzy_lines.parts_of(0) == fuzzy_lines.parts_of(50_000) == 1
+    assert fuzzy_lines.parts_of(10**9) == fuzzy_lines.KEY_PARTS
+    monkeypatch.setattr(fuzzy_lines, "PART_LINES", 50)
+    kept = fuzzy_lines.deduplicate(edited_lines(rows), max_bits=None, min_words=1).collect()
+    assert {r["doc_id"]: r["removed"] for r in kept} == {i: [0] if i % 4 else [] for i in range(160)}
+
+
+def test_last_pairs_in_parts(spark, rows):
+    """A chain through one bucket, whose pivots link to few of its members."""
+    nodes = written(rows("id bigint, fp int", [(i, 3 * i) for i in range(60)]))
+    posts = written(rows("key bigint, id bigint, fp int", [(k, i, 3 * i) for i in range(60) for k in (i // 20, 5 + (i + 10) // 20)]))
+    near = lambda x, y: F.abs(x - y) <= 3
+    found = {tuple(r) for r in components.grouped(nodes, posts, near, parts=3).collect()}
+    assert found == {(i, 0) for i in range(60)}
+
+
+def test_components_leave_their_result_only(spark, rows):
+    edges = rows("a bigint, b bigint", [(i, i + 1) for i in range(200) if i % 7])
+    before = tables(spark)
+    found = components.components(edges)
+    assert found.count() > 100 and len(tables(spark) - before) == 1
+
+
 def test_fitting_leaves_no_table(spark):
     docs = spark.createDataFrame([(i, prose(i, 60)) for i in range(5)], "doc_id bigint, text string")
     before = tables(spark)
