@@ -69,6 +69,33 @@ def test_last_pairs_in_parts(spark, rows):
     assert found == {(i, 0) for i in range(60)}
 
 
+def test_pairs_in_blocks_and_ranges_give_the_same_lines(spark, rows, monkeypatch):
+    """Pairs meet maps by blocks of ids and lines by ranges; nothing is left of either."""
+    assert fuzzy_lines.blocks_of(0) == fuzzy_lines.blocks_of(fuzzy_lines.BLOCK_PAIRS) == 1
+    assert fuzzy_lines.blocks_of(10**12) == fuzzy_lines.BLOCKS
+    for name, value in (("BLOCK_PAIRS", 20), ("RANGE_LINES", 40), ("BROADCAST_ROWS", 0), ("PART_LINES", 50)):
+        monkeypatch.setattr(fuzzy_lines, name, value)
+    blocks, ranges, of, cut = [], [], fuzzy_lines.blocks_of, fuzzy_lines.line_ranges
+    monkeypatch.setattr(fuzzy_lines, "blocks_of", lambda n: blocks.append(of(n)) or blocks[-1])
+    monkeypatch.setattr(fuzzy_lines, "line_ranges", lambda df: ranges.append(cut(df)) or ranges[-1])
+    lines = fuzzy_lines.coded_lines(edited_lines(rows).repartition(6), "doc_id", "text", 1)
+    before = tables(spark)
+    groups = fuzzy_lines.all_line_groups(lines, 0.8)
+    assert groups.select("ga", "gb").distinct().count() == 40 and groups.count() == 120
+    assert len(tables(spark) - before) <= 2
+    assert max(blocks) > 1 and max(map(len, ranges)) > 1
+    for conditions in ranges:
+        assert sum(lines.filter(c("line")).count() for c in conditions) == lines.count() == 160
+
+
+def test_a_side_of_many_rows_is_not_broadcast(spark):
+    """A broadcast is collected and built by the driver, whose memory does not grow with the tables."""
+    few, many = (components.checked(spark.range(n)) for n in (50_000, 300_000))
+    assert "broadcast" in few._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in many._jdf.queryExecution().logical().toString()
+    assert fuzzy_lines.BROADCAST_PLACES <= components.BROADCAST_ROWS
+
+
 def test_components_leave_their_result_only(spark, rows):
     edges = rows("a bigint, b bigint", [(i, i + 1) for i in range(200) if i % 7])
     before = tables(spark)
