@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,6 +114,39 @@ def shuffled_place(number: Column, size: int, rounds: Column) -> Column:
     return F.aggregate(rounds, number.cast("bigint"), step)
 
 
+def shuffled_places(number: np.ndarray, size: int, rounds: Sequence[tuple[int, int, int, int]]) -> np.ndarray:
+    """:func:`shuffled_place` of many numbers at once; the arithmetic stays below 2^63 and divides by one prime only."""
+    x = number.astype(np.int64)
+    for mirror, a, b, c in rounds:
+        mirrored = mirror % size - x
+        mirrored += size * (mirrored < 0)
+        larger = np.maximum(x, mirrored)
+        high = larger // SHUFFLE_PRIME
+        mixed = (larger - high * SHUFFLE_PRIME) * a + high % SHUFFLE_PRIME * b + c
+        x = np.where((mixed - mixed // SHUFFLE_PRIME * SHUFFLE_PRIME) & 1 == 1, mirrored, x)
+    return x
+
+
+def _sent(numbered: DataFrame, size: int, columns: Sequence[str], seeds: Sequence[Sequence[int]]) -> DataFrame:
+    """(to, slot, value): every value of the columns with its place in each of the column's shuffles; slots are numbered on."""
+    rounds = [shuffle_rounds(seed) for of_column in seeds for seed in of_column]
+    names = [f"_c{i}" for i in range(len(columns))]
+    rows = numbered.select(NUMBER, *[col(c).cast("double").alias(n) for c, n in zip(columns, names)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            number = batch.column(0).to_numpy()
+            places = np.stack([shuffled_places(number, size, r) for r in rounds], axis=1)
+            ends = pa.array(np.arange(len(number) + 1, dtype=np.int32) * len(rounds))
+            listed = pa.ListArray.from_arrays(ends, pa.array(places.ravel()))
+            yield pa.RecordBatch.from_arrays([listed, *batch.columns[1:]], names=["places", *names])
+
+    placed = rows.mapInArrow(run, ", ".join(["places array<bigint>", *[f"{n} double" for n in names]]))
+    values = [n for n, of_column in zip(names, seeds) for _ in of_column]
+    sent = [F.struct(F.col("places")[s].alias("to"), F.lit(s).alias("slot"), F.col(n).alias("value")) for s, n in enumerate(values)]
+    return placed.select(F.inline(F.array(*sent)))
+
+
 def _numbered(df: DataFrame, row: str, hot_rows: int | None) -> tuple[DataFrame, int]:
     """Rows with a dense number in the order of ``row``, written once, and how many there are."""
     numbered = written(positions(df, [], [row], NUMBER, hot_rows))
@@ -143,15 +178,8 @@ def permutation_importance(
     numbered, size = _numbered(df, row, hot_rows)
     base = ndcg_of(score(numbered), group, gain, k, on_short, tiebreak)
     slots = [(c, r) for c in columns for r in range(repeats)]
-    sent = [
-        F.struct(
-            shuffled_place(F.col(NUMBER), size, _rounds(seed + s)).alias("to"),
-            F.lit(s).alias("slot"),
-            col(c).cast("double").alias("value"),
-        )
-        for s, (c, _) in enumerate(slots)
-    ]
-    moved = numbered.select(F.inline(F.array(*sent))).repartition("to")
+    seeds = [[seed + i * repeats + r for r in range(repeats)] for i in range(len(columns))]
+    moved = _sent(numbered, size, columns, seeds).repartition("to")
     taken = moved.groupBy("to").agg(*[F.max(F.when(F.col("slot") == s, F.col("value"))).alias(f"_v{s}") for s in range(len(slots))])
     wide = numbered.join(taken, F.col(NUMBER) == F.col("to"))
 

@@ -227,6 +227,13 @@ def test_shuffled_places_are_a_permutation(spark, size):
         assert abs(np.corrcoef(list(found), list(found.values()))[0, 1]) < 0.15 and sum(i == t for i, t in found.items()) < 10
 
 
+@pytest.mark.parametrize("size", [1, 2, 1000, 3 * evaluate.SHUFFLE_PRIME])
+def test_places_of_many_numbers_at_once(size):
+    """Numbers beyond the prime too, with the mirror at both ends."""
+    numbers, rounds = np.unique(np.linspace(0, size - 1, 200).astype(int)), evaluate.shuffle_rounds(8)
+    assert evaluate.shuffled_places(numbers, size, rounds).tolist() == [place(int(i), size, rounds) for i in numbers]
+
+
 def test_permutation_importance_equals_single_shuffles(planted):
     ranker = linear.fit_pairwise(planted, "grp", "gain", ["a", "b"])
     found = {r["feature"]: r for r in evaluate.permutation_importance(planted, ranker.transform, ["a", "b"], "row", "grp", "gain", 2, 5, hot_rows=100).collect()}
