@@ -34,6 +34,16 @@ def test_block_features_joins_one_key_at_a_time(spark, folder):
     assert nested_joins(plan(QUERIES["block_features"](spark, folder))) == 1
 
 
+def test_block_features_keeps_the_shuffles_of_one_key(spark, folder):
+    """The ends of the other keys are written, so that the result joins one key's statistics only."""
+    assert sum("Join " in x for x in plan(QUERIES["block_features"](spark, folder))) == 1
+
+
+def test_feature_matrix_shuffles_no_statistics_in_its_last_step(spark, folder):
+    """Positions and statistics in windows are written with the new columns before these meet the log."""
+    assert not any("Window" in x for x in plan(QUERIES["feature_matrix"](spark, folder)))
+
+
 @pytest.mark.parametrize("name", ["item_affinity", "price_trip_features"])
 def test_the_log_is_joined_once(spark, folder, name):
     lines = [x for x in plan(QUERIES[name](spark, folder)) if "Relation" in x and "l_orderkey" in x]
