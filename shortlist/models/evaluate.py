@@ -215,6 +215,7 @@ def drop_importance(
 def mean_attribution(df: DataFrame, names: Sequence[str], attribution: str = "attribution") -> DataFrame:
     """(feature, attribution): mean absolute attribution per feature."""
     long = df.select(F.posexplode(col(attribution)).alias("place", "value"))
-    means = long.groupBy("place").agg(F.avg(F.abs("value")).alias("attribution"))
+    # Sums depend on the order of the rows in their last digits, which must not decide a tie of the sixth.
+    means = long.groupBy("place").agg(F.round(F.avg(F.abs("value")), 12).alias("attribution"))
     name = F.get(F.array(*[F.lit(n) for n in names]), F.col("place"))
     return means.select(name.alias("feature"), "attribution")
